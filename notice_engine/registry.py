@@ -1,10 +1,407 @@
-"""Registered queries of the engine and their SQL, by name."""
+"""Registered queries of the engine and their SQL, by name.
+
+The queries run the engine's operators over the synthetic tables; each SQL text says
+the same for the same tables.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from notice_engine.functions import text as X
+from notice_engine.operators import analytics as A
+from notice_engine.operators import crawl_log as C
+from notice_engine.operators import notices as N
+from notice_engine.operators import pdf_tree as P
+from notice_engine.operators.store import same_text
+from notice_engine.session import table
+from notice_engine.sources import captured, sinks
+from notice_engine.testing import fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a query under its function's name."""
+
+    def keep(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def _summary(spark: SparkSession, sf_dir: str, build=A.processing_summary) -> DataFrame:
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    customer = table(spark, sf_dir, "customer")
+    orders = table(spark, sf_dir, "orders").join(customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    children = [
+        ("n_segments", customer.withColumnRenamed("c_nationkey", "parent_key"), F.col("c_mktsegment")),
+        ("n_suppliers", table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "parent_key"), F.col("s_suppkey")),
+        ("n_orders", orders.withColumnRenamed("c_nationkey", "parent_key"), F.col("o_orderkey")),
+    ]
+    return build(nation, "n_nationkey", F.col("n_nationkey").cast("bigint") + 1, children)
+
+
+#: By arms, since the full product is large; tests hold the arms against the product.
+_SUMMARY_SQL = """
+WITH c AS (SELECT c_nationkey AS k, count(*) AS n, count(DISTINCT c_mktsegment) AS d FROM customer GROUP BY 1),
+s AS (SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY 1),
+o AS (SELECT c_nationkey AS k, count(*) AS n, count(DISTINCT o_orderkey) AS d FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1)
+SELECT n_nationkey, n_name, coalesce(c.d, 0) AS n_segments, coalesce(s.n, 0) AS n_suppliers, coalesce(o.d, 0) AS n_orders,
+  CAST((n_nationkey + 1)::HUGEINT * greatest(coalesce(c.n, 1), 1) * greatest(coalesce(s.n, 1), 1) * greatest(coalesce(o.n, 1), 1) AS DOUBLE) AS total_size
+FROM nation LEFT JOIN c ON c.k = n_nationkey LEFT JOIN s ON s.k = n_nationkey LEFT JOIN o ON o.k = n_nationkey
+"""
+
+
+@query(_SUMMARY_SQL)
+def processing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _summary(spark, sf_dir).withColumn("total_size", F.col("total_size").cast("double"))
+
+
+@query(f"SELECT n_nationkey, n_name, total_size FROM ({_SUMMARY_SQL}) ORDER BY total_size DESC, n_nationkey LIMIT 10")
+def summary_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.latest(processing_summary(spark, sf_dir), "total_size", ["n_nationkey"], 10).select("n_nationkey", "n_name", "total_size")
+
+
+@query("""
+WITH k AS (SELECT p_brand, lower(rtrim(p_name)) AS n FROM part WHERE p_partkey = 7)
+SELECT p_partkey, p_brand, p_name FROM part WHERE p_brand = (SELECT p_brand FROM k) AND lower(rtrim(p_name)) = (SELECT n FROM k) ORDER BY p_partkey LIMIT 1
+""")
+def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name")
+    key = part.where("p_partkey = 7").select(same_text(F.upper("p_brand")).alias("_b"), same_text(F.concat(F.upper("p_name"), F.lit(" "))).alias("_n"))
+    hit = part.join(key, (same_text(F.col("p_brand")) == F.col("_b")) & (same_text(F.col("p_name")) == F.col("_n")))
+    return hit.select("p_partkey", "p_brand", "p_name").orderBy("p_partkey").limit(1)
+
+
+@query("""
+SELECT d.doc_id, l.quality, d.n_chars FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+WHERE contains(lower(d.text), 'xq') OR contains(lower(d.text), '€ ') OR contains(lower(d.text), 'zw')
+ORDER BY l.quality DESC, d.doc_id, d.n_chars LIMIT 50
+""")
+def text_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "text")
+    hit = docs.where(A.matches(F.col("text"), "XQ") | F.contains(F.lower("text"), F.lit("€ ")) | A.matches(F.col("text"), "Zw"))
+    found = hit.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+    return found.select("doc_id", "quality", "n_chars").orderBy(F.desc("quality"), "doc_id", "n_chars").limit(50)
+
+
+@query(r"""
+WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[^\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+')) AS w FROM documents),
+t AS (SELECT DISTINCT doc_id, substr(w, k, 2) AS token FROM w, LATERAL unnest(generate_series(1, length(w) - 1)) AS s(k) WHERE length(w) >= 2)
+SELECT token, count(*) AS texts FROM t GROUP BY token
+""")
+def bigram_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("text_content"))
+    return A.bigram_index(texts).groupBy("token").agg(F.count("*").alias("texts"))
+
+
+_SP = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
+@query(f"""
+SELECT 'event_id' AS field, count(*) AS total, CAST(count(*) FILTER (event_id <> 0) AS BIGINT) AS non_empty FROM events
+UNION ALL SELECT 'user_id', count(*), count(*) FILTER (user_id <> 0) FROM events
+UNION ALL SELECT 'event_type', count(*), count(*) FILTER (regexp_replace(event_type, '{_SP}+', '', 'g') <> '') FROM events
+UNION ALL SELECT 'value', count(*), count(*) FILTER (value <> 0) FROM events
+UNION ALL SELECT 'props', count(props), count(*) FILTER (regexp_replace(props, '{_SP}+', '', 'g') <> '') FROM events
+""")
+def field_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
+    return A.field_profile(rows, optional=("props",)).select("field", "total", "non_empty")
+
+
+@query("""
+SELECT coalesce(lang, 'Unknown') AS jurisdiction, count(*) AS n, min(doc_id) AS first_seen, count(*) / sum(count(*)) OVER () * 100 AS percentage
+FROM documents GROUP BY 1
+""")
+def group_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.group_share(table(spark, sf_dir, "documents"), F.col("lang"), F.col("doc_id"))
+
+
+@query("SELECT count(*) AS total_items, count(DISTINCT coalesce(user_id, 0)) AS pages_crawled, count(*) / count(DISTINCT coalesce(user_id, 0)) AS items_per_page FROM events")
+def crawl_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.counts(table(spark, sf_dir, "events"), F.col("user_id"))
+
+
+def _per_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    size = F.struct(F.length("text").cast("bigint").alias("file_size"))
+    return rows.groupBy("conv_id").agg(F.collect_list(F.when(F.col("role") == "assistant", size)).alias("attachments"), F.collect_list(F.when(F.col("role") != "assistant", F.col("turn"))).alias("download_errors"))
+
+
+@query("""
+WITH c AS (SELECT conv_id, count(*) FILTER (role = 'assistant') AS a, count(*) FILTER (role <> 'assistant' AND turn IS NOT NULL) AS e, coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS b FROM conversations GROUP BY 1)
+SELECT count(*) AS total_notices_processed, CAST(sum(a) AS BIGINT) AS total_attachments_downloaded, CAST(sum(e) AS BIGINT) AS total_download_errors, CAST(sum(b) AS BIGINT) AS total_size_bytes,
+  count(*) FILTER (a > 0) AS notices_with_attachments, count(*) FILTER (a = 0) AS notices_without_attachments, round(CAST(sum(b) AS BIGINT) / 1048576.0, 2) AS total_size_mb FROM c
+""")
+def attachment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.attachment_summary(_per_conversation(spark, sf_dir))
+
+
+@query(f"SELECT doc_id, md5(trim(regexp_replace(replace(regexp_replace(coalesce(text, ''), '{_SP}+', ' ', 'g'), chr(8203), ''), '^{_SP}+|{_SP}+$', '', 'g'), ' ')) AS cleaned_md5 FROM documents")
+def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(X.clean_text(F.col("text"))).alias("cleaned_md5"))
+
+
+@query(rf"""
+WITH c AS (SELECT page_id, regexp_replace(trim(regexp_replace(regexp_replace(coalesce(url, ''), '[<>:"/\\|?*]', '_', 'g'), '{_SP}+', ' ', 'g'), ' '), '', '') AS s FROM pages),
+e AS (SELECT *, regexp_extract(s, '(?s)^\.*[^.].*(\.[^.]*)$', 1) AS ext FROM c)
+SELECT page_id, CASE WHEN length(s) > 200 THEN substr(substr(s, 1, length(s) - length(ext)), 1, 200 - length(ext)) || ext ELSE s END AS name FROM e
+""")
+def sanitize_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", X.sanitize_filename(F.col("url")).alias("name"))
+
+
+@query("""
+SELECT page_id, count(*) AS n_links FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a\\s[^>]*href="([^"]+)"', 1)) AS href FROM pages) GROUP BY page_id
+""".replace("\\\\", "\\"))
+def link_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = N.details(table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("sequence_number"), "page_id", "html"), with_links=True)
+    anchors = found.select("page_id", F.explode(F.filter("links", lambda x: (x["tag"] == "a") & (F.coalesce(x["href"], F.lit("")) != ""))).alias("a"))
+    return anchors.groupBy("page_id").agg(F.count("*").alias("n_links"))
+
+
+_EXT = ("/th", "/the", "/a", "/an")
+
+
+@query("WITH h AS (SELECT page_id, unnest(regexp_extract_all(html, 'href=\"([^\"]+)\"', 1)) AS href FROM pages), e(ext) AS (VALUES " + ", ".join(f"('{e}')" for e in _EXT) + ") SELECT ext, count(*) AS n FROM h JOIN e ON contains(lower(href), ext) GROUP BY ext")
+def direct_links_by_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hrefs = table(spark, sf_dir, "pages").select(F.explode(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), 1)).alias("href"))
+    per = F.explode(F.filter(F.array(*[F.when(F.contains(F.lower("href"), F.lit(e)), F.lit(e)) for e in _EXT]), lambda x: x.isNotNull()))
+    return hrefs.select(per.alias("ext")).groupBy("ext").agg(F.count("*").alias("n"))
+
+
+@query(r"""
+SELECT doc_id, CASE WHEN regexp_matches(text, '[0-9]{4}-[0-9]+') THEN regexp_extract(text, '[0-9]{4}-[0-9]+', 0)
+  WHEN regexp_matches(text, '[A-Z]{3,}') THEN regexp_extract(text, '[A-Z]{3,}', 0) WHEN regexp_matches(text, ' ([a-z]+)\.') THEN regexp_extract(text, ' ([a-z]+)\.', 1) END AS hit FROM documents
+""")
+def first_match_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    patterns = ((r"[0-9]{4}-[0-9]+", 0), (r"[A-Z]{3,}", 0), (r" ([a-z]+)\.", 1))
+    return table(spark, sf_dir, "documents").select("doc_id", X.first_match(F.col("text"), patterns).alias("hit"))
+
+
+@query("""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS rn, min(event_id) OVER (PARTITION BY user_id, event_type) AS first_id FROM events)
+SELECT user_id, event_type, first_id, event_id AS last_id, value FROM r WHERE rn = 1
+""")
+def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").groupBy("user_id", "event_type")
+    last = rows.agg(F.min("event_id").alias("first_id"), F.max(F.struct("event_id", "value")).alias("m"))
+    return last.select("user_id", "event_type", "first_id", F.col("m.event_id").alias("last_id"), "m.value")
+
+
+@query("""
+SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS quantity FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus = 'F') GROUP BY l_orderkey
+""")
+def cascade_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gone = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
+    kept = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity").join(gone, "l_orderkey", "left_anti")
+    return kept.groupBy("l_orderkey").agg(F.count("*").alias("n_lines"), F.sum("l_quantity").alias("quantity"))
+
+
+@query("""
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer
+UNION ALL SELECT '', '', '' FROM supplier
+""")
+def append_existing_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    header = ["c_custkey", "c_name", "c_nationkey"]
+    old = sinks.appended_columns(table(spark, sf_dir, "customer"), header)
+    return old.unionByName(sinks.appended_columns(table(spark, sf_dir, "supplier"), header))
+
+
+_DAYS_SQL = """
+WITH b AS (SELECT CAST(min(ts) AS DATE) AS d0 FROM events),
+k AS (SELECT DISTINCT user_id FROM events),
+e AS (SELECT user_id, date_diff('day', (SELECT d0 FROM b), CAST(ts AS DATE)) AS page, count(*) AS n FROM events WHERE event_type IN (SELECT event_type FROM (SELECT DISTINCT event_type FROM events ORDER BY 1 LIMIT 2)) GROUP BY 1, 2),
+g AS (SELECT k.user_id, p.page, coalesce(e.n, 0) AS n FROM k CROSS JOIN (SELECT unnest(generate_series(0, 29)) AS page) p LEFT JOIN e ON e.user_id = k.user_id AND e.page = p.page)
+"""
+
+
+def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of two types by user on a filled calendar of 30 days, standing for pages."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", F.to_date("ts").alias("d"))
+    first = events.agg(F.min("d").alias("d0"))
+    types = events.select("event_type").distinct().orderBy("event_type").limit(2)
+    n = events.join(F.broadcast(types), "event_type").crossJoin(F.broadcast(first)).groupBy("user_id", F.date_diff("d", "d0").alias("page")).agg(F.count("*").alias("n"))
+    grid = events.select("user_id").distinct().select("user_id", F.explode(F.sequence(F.lit(0), F.lit(29))).alias("page"))
+    return grid.join(n, ["user_id", "page"], "left").select("user_id", "page", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query(_DAYS_SQL + """
+, s AS (SELECT *, sum(CASE WHEN n = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY page ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS z FROM g),
+t AS (SELECT user_id, min(page) AS stop FROM s WHERE z = 3 GROUP BY 1)
+SELECT g.user_id, count(*) AS pages, max(g.page) AS last_page, CAST(sum(g.n) AS BIGINT) AS items FROM g LEFT JOIN t ON g.user_id = t.user_id WHERE t.stop IS NULL OR g.page <= t.stop GROUP BY g.user_id
+""")
+def stop_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = C.stop_rule(_days(spark, sf_dir), ["user_id"], "page", "n")
+    return kept.groupBy("user_id").agg(F.count("*").alias("pages"), F.max("page").cast("bigint").alias("last_page"), F.sum("n").alias("items"))
+
+
+@query(_DAYS_SQL + """
+, s AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY page) AS rn, coalesce(max(CASE WHEN n = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bad FROM g)
+SELECT user_id, CAST(page AS BIGINT) AS page, n FROM s WHERE rn <= 5 AND bad = 0
+""")
+def sample_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.sample_prefix(_days(spark, sf_dir), ["user_id"], 5, "page", "n").select("user_id", F.col("page").cast("bigint").alias("page"), "n")
+
+
+@query("SELECT page_id, length(html) AS size FROM pages WHERE page_id >= 10 AND page_id < 40")
+def page_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.page_window(table(spark, sf_dir, "pages"), 10, 30, "page_id").select("page_id", F.length("html").cast("bigint").alias("size"))
+
+
+_WANTED = [3, 1, 3, 10_000_000]
+
+
+@query("WITH w(request, wanted) AS (VALUES " + ", ".join(f"({k}, {p})" for k, p in enumerate(_WANTED)) + ") SELECT CAST(request AS BIGINT) AS request, CAST(wanted AS BIGINT) AS wanted, coalesce(length(html), -1) AS size, html IS NULL AS failed FROM w LEFT JOIN pages ON page_id = wanted")
+def specific_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", F.length("html").cast("bigint").alias("size"))
+    out = C.specific_pages(pages, _WANTED, "page_id", "size")
+    return out.select(F.col("request").cast("bigint").alias("request"), F.col("wanted").cast("bigint").alias("wanted"), F.coalesce("size", F.lit(-1)).alias("size"), "failed")
+
+
+@query("SELECT conv_id, string_agg(text, chr(10) ORDER BY turn, length(role) DESC) AS full_text FROM conversations WHERE coalesce(text, '') <> '' GROUP BY conv_id")
+def reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.reading_order(table(spark, sf_dir, "conversations"), ["conv_id"], F.col("turn"), F.length("role"), F.lit(0), F.lit(0), F.col("text")).where("full_text <> ''")
+
+
+@query("SELECT conv_id, turn, role, CAST(row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) - 1 AS INTEGER) AS position FROM conversations")
+def ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.ordinals(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role"), ["conv_id", "role"], ["turn"])
+
+
+@query("SELECT event_id, coalesce(nullif(CAST(props ->> '$.k' AS BIGINT), 0), -1) AS k FROM events")
+def json_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    value = F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint")
+    return table(spark, sf_dir, "events").select("event_id", X.or_default(value, 0, -1).cast("bigint").alias("k"))
+
+
+@query("""
+SELECT l_orderkey % 50 AS g, CAST(max(r) AS INTEGER) AS row_count, CAST(max(c) AS INTEGER) AS col_count FROM (SELECT l_orderkey, l_orderkey // 50 % 7 + 1 AS r, l_linenumber AS c FROM lineitem) GROUP BY 1
+""")
+def table_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("l_orderkey")
+    cells = table(spark, sf_dir, "lineitem").select((key % 50).alias("g"), (F.floor(key / 50) % 7 + 1).cast("int").alias("r"), F.col("l_linenumber").alias("c"), F.struct("l_orderkey", "l_partkey").alias("ord"), F.col("l_returnflag").alias("text"))
+    return P.matrices(cells, ["g"]).select("g", "row_count", "col_count")
+
+
+@query("""
+WITH c AS (SELECT l_orderkey % 50 AS g, l_orderkey // 50 % 7 + 1 AS r, l_linenumber AS c, arg_max(CAST(l_quantity AS INTEGER), (l_orderkey, l_partkey, l_suppkey, l_quantity)) AS q FROM lineitem GROUP BY 1, 2, 3)
+SELECT g, string_agg(row_text, '|' ORDER BY r) AS cells FROM (SELECT g, r, string_agg(CAST(q AS VARCHAR), ',' ORDER BY c) AS row_text FROM c GROUP BY g, r) GROUP BY g
+""")
+def matrix_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("l_orderkey")
+    cells = table(spark, sf_dir, "lineitem").select((key % 50).alias("g"), (F.floor(key / 50) % 7 + 1).cast("int").alias("r"), F.col("l_linenumber").alias("c"), F.struct("l_orderkey", "l_partkey", "l_suppkey", "l_quantity").alias("ord"), F.col("l_quantity").cast("int").cast("string").alias("text"))
+    rows = F.filter(F.transform("data", lambda r: F.array_join(F.filter(r, lambda x: x != ""), ",")), lambda x: x != "")
+    return P.matrices(cells, ["g"]).select("g", F.array_join(rows, "|").alias("cells"))
+
+
+@query("""
+WITH a AS (SELECT o_custkey, o_orderkey AS attempt, o_orderstatus = 'F' AS ok, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY ok DESC, CASE WHEN ok THEN k ELSE -k END) AS n FROM a WHERE k <= 3)
+SELECT o_custkey, attempt AS o_orderkey, ok FROM r WHERE n = 1
+""")
+def retry_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    attempts = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", (F.col("o_orderstatus") == "F").alias("ok"), place.alias("attempt"))
+    return C.outcome_of_attempts(attempts, ["o_custkey"]).select("o_custkey", "o_orderkey", "ok")
+
+
+@query("""
+WITH s AS (SELECT user_id, event_id, epoch(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY epoch(ts)) - 1 AS k FROM events)
+SELECT user_id, CAST(floor(max(start)) AS BIGINT) AS last_start, count(*) AS calls FROM (
+  SELECT user_id, max(t - 3600.0 * k) OVER (PARTITION BY user_id ORDER BY t, k ROWS UNBOUNDED PRECEDING) + 3600.0 * k AS start FROM s) GROUP BY user_id
+""")
+def rate_limiter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls = table(spark, sf_dir, "events").select("user_id", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("ts"))
+    out = C.rate_limited(calls, ["user_id"], F.lit(3600.0))
+    return out.groupBy("user_id").agg(F.floor(F.max("start")).cast("bigint").alias("last_start"), F.count("*").alias("calls"))
+
+
+@query("SELECT count(DISTINCT o_custkey) FILTER (o_orderstatus = 'F') AS notices, count(*) FILTER (o_orderstatus = 'F') AS documents, count(*) FILTER (o_orderstatus <> 'F') AS failed FROM orders")
+def batch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = F.when(F.col("o_orderstatus") == "F", "ok").otherwise("failed")
+    return A.batch_totals(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("notice_id"), status.alias("status")))
+
+
+@query("SELECT doc_id, source, lang, CAST(regexp_extract(source, '([0-9]+)', 1) AS BIGINT) AS notice_id, n_chars FROM documents WHERE regexp_matches(source, '^src[0-9]+$')")
+def discovery_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars")
+    listing = docs.withColumn("path", F.concat(F.lit("/d/notice_"), F.regexp_extract("source", r"\Asrc([0-9]+)\z", 1), F.lit("_t/"), F.col("doc_id").cast("string"), F.lit(".pdf"))).withColumn("length", F.col("n_chars"))
+    found = captured.discovered(listing.select("path", "length"))
+    ids = found.select(F.regexp_replace("file", r"\.pdf\z", "").cast("bigint").alias("doc_id"), F.col("notice_id").cast("bigint").alias("notice_id"))
+    return docs.join(ids, "doc_id").select("doc_id", "source", "lang", "notice_id", "n_chars")
+
+
+@query("SELECT user_id, CASE WHEN count(*) > 0 THEN count(*) / 30.0 ELSE 0 END AS items_per_second FROM events GROUP BY user_id")
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n"))
+    return A.run_metrics(n, F.col("n"), F.lit(30.0)).select("user_id", "items_per_second")
+
+
+# Operators on page and document formats that the synthetic tables do not hold run on fixtures.
+
+
+@query()
+def list_row_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.list_rows(fixtures.list_pages(spark))
+
+
+@query()
+def detail_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.details(fixtures.detail_pages(spark))
+
+
+@query()
+def attachment_links_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.attachment_rows(N.details(fixtures.detail_pages(spark), live=True))
+
+
+@query()
+def notice_detail_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.merged(N.list_rows(fixtures.list_pages(spark)), N.details(fixtures.detail_pages(spark)))
+
+
+@query()
+def pagination_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.page_info(fixtures.list_pages(spark)).join(N.has_data(fixtures.list_pages(spark)), "page_number")
+
+
+@query()
+def pdf_tree_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.texts(P.documents(fixtures.json_documents(spark)))
+
+
+@query()
+def pdf_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.tables(P.documents(fixtures.json_documents(spark)))
+
+
+@query()
+def pdf_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.images(P.documents(fixtures.json_documents(spark)))
+
+
+@query()
+def pdf_full_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.full_text(P.documents(fixtures.json_documents(spark)))
+
+
+@query()
+def circuit_breaker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderkey").cast("double").alias("ts"), (F.col("o_orderstatus") == "F").alias("ok"))
+    return C.breaker(rows, ["o_custkey"])
+
+
+@query()
+def last_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select((F.col("page_id") + 1).cast("int").alias("page_number"), F.lit(True).alias("has_data"))
+    return C.last_page(pages, 1, 100_000)
