@@ -58,10 +58,12 @@ class WaveletMatrix:
 
 
 class FMIndex:
-    """Over ``text``, numbers from 0 (the separator) to ``most``."""
+    """Over ``text``, numbers from 0 (the separator) to ``most``. It starts with a separator, whose row stands for the end."""
 
     def __init__(self, text: np.ndarray, most: int, depth: int):
         n = len(text)
+        if n and text[0]:
+            raise ValueError("the text does not start with a separator")
         order = text.astype(np.int64)
         span = 1
         while True:  # rank places by 1, 2, 4, ... words

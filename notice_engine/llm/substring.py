@@ -278,11 +278,12 @@ def repeated(docs: DataFrame) -> DataFrame:
 def without_repeated_substrings(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated words cut out of text; texts that lose nothing stay as they are. n_chars follows the text."""
     names = docs.columns
-    light = docs.select("doc_id", "text")
-    found = judged_texts(light, True).where("n_removed > 0 or first is not null").select(F.col("digest").alias("_digest"), "first", "n_words", "n_removed", F.when(F.col("n_removed") > 0, F.col("kept").cast("string")).alias("_kept"))
-    rows = docs.withColumn("_digest", digest_column(F.col("text"))).join(found, "_digest", "left")
-    copy = F.col("doc_id").isNotNull() & (F.col("doc_id") > F.col("first")) & (F.col("n_words") >= WINDOW)
-    text = F.when(copy, F.lit("")).when(F.col("doc_id").isNotNull() & (F.col("n_removed") > 0), F.col("_kept")).otherwise(F.col("text"))
+    found = judged_texts(docs.select("doc_id", "text"), True)
+    found = found.select(F.col("digest").alias("_digest"), F.col("first").alias("_first"), F.col("n_words").alias("_words"), F.when(F.col("n_removed") > 0, F.col("kept").cast("string")).alias("_kept"))
+    rows = docs.withColumn("_digest", digest_column(F.col("text"))).join(found, "_digest")
+    own = F.col("doc_id").isNotNull()
+    copy = own & (F.col("doc_id") > F.col("_first")) & (F.col("_words") >= WINDOW)
+    text = F.when(copy, F.lit("")).when(own & F.col("_kept").isNotNull(), F.col("_kept")).otherwise(F.col("text"))
     rows = rows.withColumn("_new", text)
     return rows.select(*[F.col("_new").alias("text") if n == "text" else F.length("_new").cast(docs.schema[n].dataType).alias(n) if n == "n_chars" else F.col(n) for n in names])
 

@@ -48,7 +48,8 @@ def choose_pivots(vectors: DataFrame) -> dict[int, np.ndarray]:
     sample = vectors.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(PIVOT_SAMPLE).collect()
     found: dict[int, np.ndarray] = {}
     for dim in sorted({len(r["v"]) for r in sample}):
-        x = np.array([r["v"] for r in sample if len(r["v"]) == dim], float).reshape(-1, dim)
+        own = [r["v"] for r in sample if len(r["v"]) == dim]
+        x = np.array(own, float).reshape(len(own), dim)
         picked, far = [0], np.linalg.norm(x - x[0], axis=1)
         while len(picked) < min(PIVOTS, len(x)) and far.max() > 0:
             picked.append(int(far.argmax()))
@@ -60,7 +61,7 @@ def choose_pivots(vectors: DataFrame) -> dict[int, np.ndarray]:
 def _matrix(column: pa.ChunkedArray | pa.Array, kind=None) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    out = flat.reshape(len(column), -1)
+    out = flat.reshape(len(column), len(flat) // max(1, len(column)))
     return out if kind is None else out.astype(kind)
 
 
