@@ -259,8 +259,8 @@ def classes(docs: DataFrame) -> DataFrame:
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """One row of each class, that of its smallest doc_id; all columns kept. Rows without words stay."""
     found = written(near_duplicate_texts(docs.select("doc_id", "text")), "bmh-classes")
-    keeper = found.where(F.col("first").eqNullSafe(F.col("class_id"))).groupBy("class_id").agg(F.min("tid").alias("keeper"))
-    found = found.join(keeper, found["class_id"].eqNullSafe(keeper["class_id"])).select("tid", found["class_id"], "keeper")
+    keeper = found.where(F.col("first").eqNullSafe(F.col("class_id"))).groupBy(F.col("class_id").alias("_class")).agg(F.min("tid").alias("keeper"))
+    found = found.join(keeper, F.col("class_id").eqNullSafe(F.col("_class"))).select("tid", "class_id", "keeper")
     rows = docs.select("doc_id", F.when(F.col("text").rlike(WORD), text_id(F.col("text"))).alias("tid")).where("tid is not null")
     rows = rows.groupBy("doc_id", "tid").agg(F.count("*").alias("n")).join(found, "tid")
     stays = (F.col("tid") == F.col("keeper")) & F.col("doc_id").eqNullSafe(F.col("class_id"))

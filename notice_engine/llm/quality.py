@@ -79,13 +79,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> t
 Rule = tuple
 
 
-def _grow(binned: np.ndarray, cuts: list[np.ndarray], grad: np.ndarray, hess: np.ndarray, rows: np.ndarray, depth: int, path: Rule, rules: set, out: np.ndarray) -> None:
+def _grow(binned: np.ndarray, cuts: list[np.ndarray], grad: np.ndarray, hess: np.ndarray, rows: np.ndarray, depth: int, least: int, path: Rule, rules: set, out: np.ndarray) -> None:
     """One node of a tree on gradients; ``out`` gets the value of each row's leaf."""
     if path:
         rules.add(path)
     g, h = grad[rows].sum(), hess[rows].sum()
     out[rows] = -g / (h + 1.0)
-    if depth == 0 or len(rows) < 40:
+    if depth == 0 or len(rows) < 2 * least:
         return
     best, at = 1e-3, None
     for f, cut in enumerate(cuts):
@@ -96,7 +96,7 @@ def _grow(binned: np.ndarray, cuts: list[np.ndarray], grad: np.ndarray, hess: np
         hl = np.cumsum(np.bincount(b, hess[rows], len(cut) + 1))[:-1]
         n = np.cumsum(np.bincount(b, minlength=len(cut) + 1))[:-1]
         gain = gl**2 / (hl + 1) + (g - gl) ** 2 / (h - hl + 1) - g**2 / (h + 1)
-        gain[(n < 20) | (len(rows) - n < 20)] = 0
+        gain[(n < least) | (len(rows) - n < least)] = 0
         k = int(gain.argmax())
         if gain[k] > best:
             best, at = gain[k], (f, k)
@@ -106,7 +106,7 @@ def _grow(binned: np.ndarray, cuts: list[np.ndarray], grad: np.ndarray, hess: np
     above = binned[rows, f] > k
     for side in (False, True):
         step = (f, side, float(cuts[f][k]))
-        _grow(binned, cuts, grad, hess, rows[above == side], depth - 1, (*path, step), rules, out)
+        _grow(binned, cuts, grad, hess, rows[above == side], depth - 1, least, (*path, step), rules, out)
 
 
 def tree_rules(x: np.ndarray, y: np.ndarray) -> list[Rule]:
@@ -114,12 +114,13 @@ def tree_rules(x: np.ndarray, y: np.ndarray) -> list[Rule]:
     cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1])) for f in range(x.shape[1])]
     binned = np.stack([np.searchsorted(c, x[:, f], "left") for f, c in enumerate(cuts)], 1)  # bin > k is value > cuts[k]
     margin, rules, rng = np.full(len(y), np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6))), set(), np.random.default_rng(7)
+    least = max(2, min(20, len(y) // 40))  # rows of a node
     for _ in range(TREES):
         p = 1 / (1 + np.exp(-margin))
         half = np.flatnonzero(rng.random(len(y)) < 0.5)
         fitted: set = set()
         step = np.zeros(len(y))
-        _grow(binned, cuts, p - y, p * (1 - p), half, DEPTH, (), fitted, step)
+        _grow(binned, cuts, p - y, p * (1 - p), half, DEPTH, least, (), fitted, step)
         rules |= fitted
         rest = np.setdiff1d(np.arange(len(y)), half)
         for path in sorted(fitted, key=len):  # the others take the value of their deepest path
