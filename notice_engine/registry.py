@@ -16,8 +16,10 @@ from notice_engine.operators import analytics as A
 from notice_engine.operators import crawl_log as C
 from notice_engine.operators import notices as N
 from notice_engine.operators import pdf_tree as P
+from notice_engine.operators import store as S
 from notice_engine.operators.store import same_text
-from notice_engine.session import table
+from notice_engine.schemas import PDF_DOCUMENTS
+from notice_engine.session import table, written
 from notice_engine.sources import captured, sinks
 from notice_engine.testing import fixtures
 
@@ -202,9 +204,53 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS quantity FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus = 'F') GROUP BY l_orderkey
 """)
 def cascade_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gone = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
-    kept = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity").join(gone, "l_orderkey", "left_anti")
-    return kept.groupBy("l_orderkey").agg(F.count("*").alias("n_lines"), F.sum("l_quantity").alias("quantity"))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("document_id"), "l_quantity")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_orderstatus")
+    none = lines.limit(0)
+    tables, _ = S.delete_documents({"pdf_documents": orders, "pdf_text_content": lines, "pdf_tables": none, "pdf_images": none}, orders.where("o_orderstatus = 'F'"))
+    return tables["pdf_text_content"].groupBy(F.col("document_id").alias("l_orderkey")).agg(F.count("*").alias("n_lines"), F.sum("l_quantity").alias("quantity"))
+
+
+@query("""
+WITH a AS (SELECT user_id, event_type, min(event_id) AS f, max(event_id) AS l FROM events WHERE event_id % 2 = 0 GROUP BY 1, 2),
+ai AS (SELECT *, row_number() OVER (ORDER BY f) AS id FROM a),
+b AS (SELECT user_id, event_type, min(event_id) AS f, max(event_id) AS l FROM events WHERE event_id % 2 = 1 AND event_id % 3 <> 0 GROUP BY 1, 2),
+n AS (SELECT b.*, row_number() OVER (ORDER BY b.f) AS k FROM b ANTI JOIN a ON a.user_id = b.user_id AND a.event_type = b.event_type)
+SELECT CAST(ai.id AS BIGINT) AS id, CAST(ai.user_id AS VARCHAR) AS notice_id, ai.event_type AS file_name, coalesce(b.l, ai.l) AS file_size FROM ai LEFT JOIN b ON ai.user_id = b.user_id AND ai.event_type = b.event_type
+UNION ALL SELECT (SELECT max(id) FROM ai) + k, CAST(user_id AS VARCHAR), event_type, l FROM n
+""")
+def document_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches: one into an empty table, one that updates some documents and adds others."""
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("notice_id"), F.lit("/f").alias("file_path"), F.col("event_type").alias("file_name"), F.col("event_id").alias("file_size"), F.lit(1).alias("page_count"), F.col("event_id").alias("ord"))
+    empty = spark.createDataFrame([], PDF_DOCUMENTS)
+    first = written(S.upsert_documents(empty, rows.where("ord % 2 = 0")), "upsert-first")
+    second = S.upsert_documents(first, rows.where("ord % 2 = 1 and ord % 3 <> 0"))
+    return second.select("id", "notice_id", "file_name", "file_size")
+
+
+@query("""
+WITH r AS (SELECT o_orderpriority AS operation, o_orderkey AS ord, o_orderstatus <> 'P' AS ok FROM orders),
+l AS (SELECT operation, max(ord) FILTER (ok) AS last FROM r GROUP BY 1)
+SELECT r.operation, count(*) FILTER (NOT ok AND ord > coalesce(last, -1)) AS error_count FROM r JOIN l ON r.operation = l.operation GROUP BY 1
+""")
+def error_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders")
+    return A.error_stats(rows.select(F.col("o_orderpriority").alias("operation"), F.col("o_orderkey").alias("ord"), (F.col("o_orderstatus") != "P").alias("ok")))
+
+
+@query("SELECT coalesce(avg(CASE WHEN p_size > 10 THEN p_size END), 0) AS average_items, coalesce(avg(CASE WHEN p_size > 10 THEN p_size END), 0) * 40 AS estimated_items FROM part")
+def preview_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "part").select(F.when(F.col("p_size") > 10, F.col("p_size")).otherwise(0).alias("item_count"))
+    return A.preview_estimate(pages, 40)
+
+
+@query("""
+WITH c AS (SELECT conv_id, count(*) FILTER (role = 'assistant') AS a FROM conversations GROUP BY 1)
+SELECT 9 AS total_pages_processed, count(*) AS total_notices_processed, count(*) FILTER (a > 0) AS notices_with_attachments FROM c
+""")
+def crawl_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    notices = _per_conversation(spark, sf_dir).withColumn("attachment_count", F.size("attachments"))
+    return A.crawl_summary(notices, 1, 10, notices).select("total_pages_processed", "total_notices_processed", "notices_with_attachments")
 
 
 @query("""

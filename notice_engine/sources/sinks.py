@@ -82,6 +82,13 @@ def append(new: DataFrame, path: str) -> bool:
     return False
 
 
+def save_attachment_summary(summary: DataFrame, folder: str, now: datetime | None = None) -> str:
+    """The one-row summary of downloads as JSON."""
+    path = f"{folder.rstrip('/')}/attachment_summary_{now or datetime.now():%Y%m%d_%H%M%S}.json"
+    summary.coalesce(1).write.option("ignoreNullFields", "false").json(path)
+    return path
+
+
 def report(rows: DataFrame, now: datetime) -> DataFrame:
     """Lines of the crawl summary. All figures are aggregates; only as many rows as fields and groups are formatted."""
     page = F.col("page_number") if "page_number" in rows.columns else F.lit(0)

@@ -76,11 +76,13 @@ def test_field_profile_and_shares(spark):
     assert [(r["jurisdiction"], r["n"]) for r in shares] == [("b", 2), ("a", 2), ("Unknown", 1), ("", 1)]
 
 
-def test_attachment_summary_rounds_half_even(spark):
+def test_attachment_summary_rounds_half_even(spark, tmp_path):
     kind = "attachments array<struct<file_size:bigint>>, download_errors array<string>, attachment_count int"
     rows = spark.createDataFrame([([(131072,)], ["e"], 1), ([], [], 0)], kind)
     got = A.attachment_summary(rows).first().asDict()
     assert got["total_size_mb"] == 0.12 and (got["notices_with_attachments"], got["notices_without_attachments"], got["total_download_errors"]) == (1, 1, 1)
+    path = sinks.save_attachment_summary(A.attachment_summary(rows), str(tmp_path), datetime(2024, 1, 2))
+    assert path.endswith("attachment_summary_20240102_000000.json") and spark.read.json(path).first()["total_size_bytes"] == 131072
     both = A.crawl_summary(rows, 1, 4, rows).first().asDict()
     assert both["total_pages_processed"] == 3 and both["total_attachments_downloaded"] == 1
 
