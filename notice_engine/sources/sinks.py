@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from notice_engine.operators import analytics as A
 
+# Headings and widths of the summary's tables.
+FIELD_TABLE = (("Field", 25), ("Total", 8), ("Non-Empty", 12), ("Fill Rate", 10))
+GROUP_TABLE = (("Jurisdiction", 30), ("Count", 8), ("Percentage", 10))
+
 
 def flattened(rows: DataFrame) -> DataFrame:
     """Nested columns as JSON text, null fields kept, non-ASCII as it is."""
@@ -93,15 +97,22 @@ def report(rows: DataFrame, now: datetime) -> DataFrame:
     """Lines of the crawl summary. All figures are aggregates; only as many rows as fields and groups are formatted."""
     page = F.col("page_number") if "page_number" in rows.columns else F.lit(0)
     total = A.counts(rows, page).first()
-    lines = ["Crawl Summary", f"Generated: {now:%Y-%m-%d %H:%M:%S}", "=" * 50, "", f"Total Items: {total['total_items']}", f"Pages Crawled: {total['pages_crawled']}", f"Average Items per Page: {total['items_per_page']:.2f}", "", "Field Statistics:", f"{'Field':<25} {'Total':<8} {'Non-Empty':<12} {'Fill Rate':<10}", "-" * 55]
-    lines += [f"{r['field']:<25} {r['total']:<8} {r['non_empty']:<12} {r['fill_rate']:<10.1f}%" for r in A.field_profile(rows).collect()]
+    head = {"Generated": f"{now:%Y-%m-%d %H:%M:%S}", "Total Items": total["total_items"], "Pages Crawled": total["pages_crawled"], "Average Items per Page": f"{total['items_per_page']:.2f}"}
+    lines = ["Crawl Summary", *(f"{k}: {v}" for k, v in head.items())]
+    lines += _listed("Field Statistics:", FIELD_TABLE, A.field_profile(rows).select("field", "total", "non_empty", "fill_rate").toLocalIterator())
     if "jurisdiction" in rows.columns:
-        share = A.group_share(rows, F.col("jurisdiction"), _order(rows))
-        lines += ["", "Jurisdiction Distribution:", f"{'Jurisdiction':<30} {'Count':<8} {'Percentage':<10}", "-" * 48]
-        lines += [f"{r['jurisdiction']:<30} {r['n']:<8} {r['percentage']:<10.1f}%" for r in share.collect()]
+        share = A.group_share(rows, F.col("jurisdiction"), _order(rows)).select("jurisdiction", "n", "percentage")
+        lines += _listed("Jurisdiction Distribution:", GROUP_TABLE, share.toLocalIterator())
     return rows.sparkSession.createDataFrame([("\n".join(lines),)], "value string")
 
 
+def _listed(title: str, columns: tuple[tuple[str, int], ...], values) -> list[str]:
+    """A titled table; the last column is a share in percent."""
+    line = lambda cells: " ".join(str(c).ljust(w) for c, (_, w) in zip(cells, columns, strict=True))
+    body = [line([*row[:-1], f"{row[-1]:.1f}%"]) for row in values]
+    return ["", title, line([n for n, _ in columns]), "-" * sum(w + 1 for _, w in columns), *body]
+
+
 def _order(rows: DataFrame) -> Column:
     keys = [c for c in ("page_number", "row_number") if c in rows.columns]
     return F.struct(*keys) if keys else F.lit(0)
