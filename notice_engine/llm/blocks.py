@@ -6,8 +6,8 @@ into blocks of some ten megabytes; a block asks about its different keys, sorted
 packed, one blob for each key shard, and the answer is a blob in the same order. A
 key that is in a third of all documents is asked about once by each block.
 
-Texts are collapsed within each task before they are dealt, so a text with many
-copies comes to its block once for each task that holds it.
+Texts are collapsed within each Arrow batch of a task before they are dealt, so a
+text with many copies comes to its block once for each batch that holds it.
 """
 
 from __future__ import annotations
@@ -69,7 +69,7 @@ def digest_column(text: Column) -> Column:
 
 
 def blocked(docs: DataFrame, values: dict[str, Column], merge: Callable[[list, list], list], blocks: int) -> DataFrame:
-    """block, digest, text (binary, null as empty) and one long for each of ``values``, merged over the equal texts of each task; dealt by block."""
+    """block, digest, text (binary, null as empty) and one long for each of ``values``, merged over the equal texts of each batch; dealt by block."""
     ship(docs.sparkSession)
     names = list(values)
 

@@ -38,8 +38,8 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: A space next to other white space on both sides, or two spaces.
 _RUNS = re.compile(r"\s \s|  ")
 #: Stretches of text whose ids are kept; a full cache starts anew.
-_CHUNKS = 500_000
-_PAIRS = 2_000_000
+_CHUNKS = 150_000
+_PAIRS = 300_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -217,6 +217,11 @@ class BytePairs:
             out.append(self.chunk(part) if ids is None else ids)
         return out
 
+    def forget(self) -> None:
+        """Give back the memory of what was kept; Python workers go on to other work."""
+        self.chunks.clear()
+        self.fits.clear()
+
     def encode(self, text: str) -> np.ndarray:
         out: list[bytes] = []
         for part in self.cut.split(text) if self.cut and any(t in text for t in self.added) else (text,):
@@ -267,6 +272,7 @@ def encoded(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFrame:
             if not keep_ids:
                 columns.pop("ids")
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns.values()], names=["doc_id", *columns])
+        v.forget()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, " + "ids array<int>, " * keep_ids + "ids_sha256 string, decoded_sha256 string, round_trip boolean"

@@ -12,8 +12,8 @@ to the weighted Jaccard. Points later than the time by which all components are
 expected to be filled are not generated; texts with an empty component go on with a
 later time.
 
-Candidates. Equal texts are one node from the start (collapsed in each task before
-any shuffle). Signatures are cut into bands; texts that share a band meet in a
+Candidates. Equal texts are one node from the start (collapsed in each Arrow batch
+before any shuffle). Signatures are cut into bands; texts that share a band meet in a
 bucket. Buckets of up to 16 texts give all their pairs, larger ones pair each text
 with a few members, drawn anew for each band, so the number of candidates is
 proportional to the texts. Signatures then drop pairs whose estimate lies 4.4

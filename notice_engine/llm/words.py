@@ -12,7 +12,7 @@ import xxhash
 #: The same rule as a pattern for Spark's regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_KEPT = 400_000
+_KEPT = 150_000
 _U = np.uint64
 
 
