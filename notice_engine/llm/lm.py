@@ -49,22 +49,20 @@ def _sum(a: list, b: list) -> list:
     return [x + y for x, y in zip(a, b, strict=True)]
 
 
-def tokens(raw: bytes) -> np.ndarray:
-    """Hashes of the lower-cased words and of the end."""
-    return np.append(hashes(raw.lower().split()), END)
-
-
-def bigrams(t: np.ndarray) -> np.ndarray:
-    context = np.concatenate([[START], t[:-1]])
-    return mixed(context * _U(0x9E3779B97F4A7C15) + (t ^ (t >> _U(29))))
-
-
 def _streams(texts: list[tuple[bytes, bytes, list]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens and bigrams of all texts, and the number of tokens of each."""
-    each = [tokens(raw) for _, raw, _ in texts]
-    if not each:
-        return np.empty(0, _U), np.empty(0, _U), np.empty(0, np.int64)
-    return np.concatenate(each), np.concatenate([bigrams(t) for t in each]), np.array([len(t) for t in each], np.int64)
+    """Hashes of the tokens (lower-cased words, then the end) and of the bigrams of all texts, and the number of tokens of each."""
+    parts, length = [], np.empty(len(texts), np.int64)
+    for k, (_, raw, _) in enumerate(texts):
+        parts += (hashes(raw.lower().split()), END)
+        length[k] = len(parts[-2]) + 1
+    words = np.concatenate([np.empty(0, _U), *[np.atleast_1d(p) for p in parts]])
+    del parts
+    pairs = np.empty_like(words)  # first the contexts
+    pairs[1:] = words[:-1]
+    pairs[np.cumsum(length) - length] = START
+    pairs *= _U(0x9E3779B97F4A7C15)
+    pairs += words ^ (words >> _U(29))
+    return words, mixed(pairs), length
 
 
 def _asked(table_: pa.Table, shards: int) -> pa.Table:
@@ -72,11 +70,15 @@ def _asked(table_: pa.Table, shards: int) -> pa.Table:
     block = table_["block"][0].as_py()
     texts = block_texts(table_, ["train", "deleted"], _sum)
     words, pairs, length = _streams(texts)
-    weights = [np.repeat(np.array([v[k] for _, _, v in texts], float), length) for k in (0, 1)]
+    times = [np.array([v[k] for _, _, v in texts], float) for k in (0, 1)]
+    del texts
     out: dict[str, list] = {"kind": [], "shard": [], "block": [], "keys": [], "train": [], "deleted": []}
-    for kind, stream in enumerate((words, pairs)):
-        keys, back = np.unique(stream, return_inverse=True)
-        counts = [np.bincount(back, w, len(keys)).astype("<u4") for w in weights]
+    streams = [words, pairs]
+    del words, pairs
+    for kind in (0, 1):
+        keys, back = np.unique(streams.pop(0), return_inverse=True)
+        counts = [np.bincount(back, np.repeat(w, length), len(keys)).astype("<u4") for w in times]
+        del back
         edges = shard_edges(keys, shards)
         for s in range(shards):
             a, b = edges[s], edges[s + 1]
@@ -131,15 +133,18 @@ def _with_counts(table_: pa.Table, replies: pa.Table, shards: int) -> pa.Table:
         texts = block_texts(table_, ["train", "deleted"], _sum)
         words, pairs, length = _streams(texts)
         counts: list[dict[str, np.ndarray]] = []
-        for kind, stream in enumerate((words, pairs)):
-            keys, back = np.unique(stream, return_inverse=True)
+        streams = [words, pairs]
+        del words, pairs
+        for kind in (0, 1):
+            keys, back = np.unique(streams.pop(0), return_inverse=True)
             edges = shard_edges(keys, shards)
             got = {"train": np.zeros(len(keys), np.int64), "deleted": np.zeros(len(keys), np.int64)}
             for k, s, a, d in zip(*[replies[c].to_pylist() for c in ("kind", "shard", "train", "deleted")], strict=True):
                 if k == kind:
                     got["train"][edges[s] : edges[s + 1]] = unpack(a, "<u8")
                     got["deleted"][edges[s] : edges[s + 1]] = unpack(d, "<u8")
-            counts.append({n: v[back] for n, v in got.items()})
+            small = {n: v.astype(np.uint32) if v.max(initial=0) < 2**32 else v for n, v in got.items()}
+            counts.append({n: v[back] for n, v in small.items()})
         stop = np.cumsum(length)
         for (digest, _, (_, deleted)), a, b in zip(texts, (stop - length).tolist(), stop.tolist(), strict=True):
             cut = lambda kind, n: _squeezed(counts[kind][n][a:b])  # noqa: B023, E731
