@@ -14,13 +14,17 @@ later time.
 
 Candidates. Equal texts are one node from the start (collapsed in each Arrow batch
 before any shuffle). Signatures are cut into bands; texts that share a band meet in a
-bucket. Buckets of up to 16 texts give all their pairs, larger ones pair each text
-with a few members, drawn anew for each band, so the number of candidates is
-proportional to the texts. Signatures then drop pairs whose estimate lies 4.4
-standard deviations below 0.8. The rest is verified on the texts: first the two
-best candidates of each text, then every candidate whose ends are still in
-different classes. In a bucket of more than 16 texts a link is lost only if no band
-of either text draws a member that joins the two.
+bucket, and every pair of a bucket is a candidate. Signatures drop pairs whose
+estimate lies 4.4 standard deviations below 0.8. The rest is verified on the texts:
+first the two best candidates of each text, then every candidate whose ends are
+still in different classes.
+
+This goes in two passes. The first takes all pairs of buckets of up to 16 texts and
+in larger ones pairs each text with three members only, which joins most of a large
+group at little cost. The second takes the larger buckets whose texts are still in
+different classes and compares all their texts of different classes, block against
+block. Pairs within a class need no look, since they cannot change it. A bucket of n
+texts that stay apart costs n * n / 2 comparisons of signatures.
 
 Classes are the components of the verified links.
 
@@ -51,6 +55,8 @@ SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 24, 5
 PARTS = BANDS * ROWS
 SMALL_BUCKET, MEMBERS = 16, 3
+#: Texts of a large bucket whose signatures are compared at once, and of those the texts verified at once: of each side, about.
+BLOCK, TILE = 2048, 128
 ESTIMATE = 0.64
 #: Ids of texts to verify, or of documents to leave out, that are broadcast at most (8 bytes each); beyond, joins shuffle.
 BROADCAST_IDS = 2_000_000
@@ -178,13 +184,17 @@ def signed_texts(docs: DataFrame) -> DataFrame:
     return rows.groupBy("tid").agg(F.min("first").alias("first"), F.any_value("bands").alias("bands"), F.any_value("short").alias("short"))
 
 
-def candidate_pairs(texts: DataFrame) -> DataFrame:
-    """(a, b), a < b: different texts that share a bucket and are alike by their signatures."""
+def shared_buckets(texts: DataFrame) -> DataFrame:
+    """key, tid, n (texts of the bucket) and a few members for each bucket of more than one text."""
     rows = texts.select("tid", F.explode("bands").alias("key"))
     draws = [F.lit(int(x)) for x in np.random.default_rng(5).integers(0, 2**60, MEMBERS)]
     drawn = [F.min(F.col("tid").bitwiseXOR(d)).bitwiseXOR(d) for d in draws]
     buckets = rows.groupBy("key").agg(F.count("*").alias("n"), *[d.alias(f"r{k}") for k, d in enumerate(drawn)]).where("n > 1")
-    met = written(rows.join(buckets, "key"), "bmh-met")
+    return rows.join(buckets, "key")
+
+
+def candidate_pairs(texts: DataFrame, met: DataFrame) -> DataFrame:
+    """(a, b, alike), a < b: the first pass; all pairs of small buckets, some of large ones, alike by their signatures."""
     small = met.where(F.col("n") <= SMALL_BUCKET).select("key", "tid")
     near = small.join(small.select("key", F.col("tid").alias("other")), "key").where("tid < other").select(F.col("tid").alias("a"), F.col("other").alias("b"))
     large = met.where(F.col("n") > SMALL_BUCKET).select("tid", F.explode(F.array(*[f"r{k}" for k in range(MEMBERS)])).alias("other"))
@@ -204,6 +214,87 @@ def candidate_pairs(texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(estimate, "a long, b long, alike double")
 
 
+def pairs_between(texts: DataFrame, met: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, i, j, a, b, alike), a < b: the second pass; all pairs of large buckets with different roots, alike by their signatures.
+
+    The texts of a bucket's most frequent root and the others are dealt to blocks
+    apart, so that blocks of that root do not meet each other. A pair is given by the
+    first bucket that it shares; if that one is small, the first pass had the pair.
+    """
+    rows = met.where(F.col("n") > SMALL_BUCKET).select("key", "tid").join(roots.withColumnRenamed("node", "tid"), "tid", "left")
+    rows = written(rows.select("key", "tid", F.coalesce("root", "tid").alias("root")), "bmh-large")
+    roots_of = rows.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key")
+    open_ = roots_of.agg(F.count("*").alias("roots"), F.sum("c").alias("n"), F.max(F.struct("c", "root")).alias("top")).where("roots > 1")
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK))
+    open_ = open_.select("key", F.col("top.root").alias("top"), blocks(F.col("n") - F.col("top.c")).alias("others"), blocks(F.col("top.c")).alias("tops"))
+    rows = rows.join(open_, "key").join(texts.select("tid", "bands", "short"), "tid")
+    salt, is_top = F.xxhash64("tid"), F.col("root") == F.col("top")
+    block = F.when(is_top, F.col("others") + F.pmod(salt, F.col("tops"))).otherwise(F.pmod(salt, F.col("others")))
+    partners = F.sequence(F.lit(0).cast("long"), F.when(is_top, F.col("others")).otherwise(F.col("others") + F.col("tops")) - 1)
+    rows = rows.withColumn("block", block).withColumn("partner", F.explode(partners))
+    rows = rows.select("key", F.least("block", "partner").alias("i"), F.greatest("block", "partner").alias("j"), "tid", "root", "block", "bands", "short")
+    ship(texts.sparkSession)
+
+    def compare(group: pa.Table) -> pa.Table:
+        key, i, j = (group.column(k)[0].as_py() for k in range(3))
+        tid, root, block = (group.column(k).to_numpy() for k in (3, 4, 5))
+        bands = group.column(6).combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        short = np.frombuffer(b"".join(group.column(7).to_pylist()), "<u2").reshape(-1, PARTS)
+        x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        root_y, short_y = root[y], short[y]
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        for k, row in enumerate(x):
+            start = k + 1 if i == j else 0
+            alike = np.count_nonzero(short_y[start:] == short[row], axis=1) / PARTS
+            near = np.flatnonzero((alike >= ESTIMATE) & (root_y[start:] != root[row]))
+            other = y[start:][near]
+            shared = bands[other] == bands[row]
+            first = bands[row][shared.argmax(axis=1)] == key
+            other = tid[other[first]]
+            found.append((np.minimum(other, tid[row]), np.maximum(other, tid[row]), alike[near[first]]))
+        a, b, alike = (np.concatenate(f) for f in zip(*found, strict=True))
+        same = lambda v: pa.array(np.full(len(a), v, np.int64))
+        return pa.table({"key": same(key), "i": same(i), "j": same(j), "a": a, "b": b, "alike": alike})
+
+    return rows.groupBy("key", "i", "j").applyInArrow(compare, "key long, i long, j long, a long, b long, alike double")
+
+
+def verified_in_tiles(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """As :func:`verified`, for many pairs (key, i, j, a, b) of few texts: a text is sent once to each tile of pairs, not to each pair."""
+    tile = ["key", "i", "j", "u", "v"]
+    dealt = lambda c: F.pmod(F.xxhash64(c, F.lit(1)), F.lit(-(-BLOCK // TILE)))
+    pairs = pairs.select("key", "i", "j", dealt("a").alias("u"), dealt("b").alias("v"), "a", "b")
+    ends = written(pairs.select(*tile, F.explode(F.array("a", "b")).alias("tid")).distinct(), "bmh-ends")
+    texts = docs.select(text_id(F.col("text")).alias("tid"), "text").join(ends.select("tid").distinct(), "tid", "left_semi")
+    texts = texts.groupBy("tid").agg(F.any_value("text").cast("binary").alias("text"))
+    ship(docs.sparkSession)
+
+    def run(group: pa.Table, members: pa.Table) -> pa.Table:
+        a, b = (group.column(k).to_numpy() for k in ("a", "b"))
+        tid = members.column("tid").to_numpy()
+        sets = [np.unique(shingles(raw), return_counts=True) for raw in members.column("text").to_pylist()]
+        at = {t: k for k, t in enumerate(tid.tolist())}
+        _, word = np.unique(np.concatenate([v for v, _ in sets]), return_inverse=True)
+        count = np.concatenate([c for _, c in sets])
+        ends = np.cumsum([len(v) for v, _ in sets])
+        starts = ends - [len(v) for v, _ in sets]
+        total = np.add.reduceat(count, starts)
+        other = np.array([at[t] for t in b.tolist()], np.int64)
+        keep, own = np.zeros(len(a), bool), np.zeros(word.max() + 1, count.dtype)
+        order = np.argsort(a, kind="stable")
+        for rows in np.split(order, np.flatnonzero(np.diff(a[order])) + 1):
+            k = at[int(a[rows[0]])]
+            part = slice(starts[k], ends[k])
+            own[word[part]] = count[part]
+            low = np.add.reduceat(np.minimum(own[word], count), starts)
+            own[word[part]] = 0
+            keep[rows] = (low / (total[k] + total - low))[other[rows]] >= SIMILAR
+        return pa.table({"a": a[keep], "b": b[keep]})
+
+    sent = ends.join(texts, "tid").select(*tile, "tid", "text")
+    return pairs.groupBy(*tile).cogroup(sent.groupBy(*tile)).applyInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Those pairs whose texts are at least 0.8 alike."""
     ids = written(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "tid"), "bmh-ids")
@@ -227,23 +318,46 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def best_two(pairs: DataFrame) -> DataFrame:
+    """(a, b): those pairs that are among the two best of one of their texts."""
+    ends = pairs.select("a", "b", "alike").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "alike"))
+    place = F.row_number().over(Window.partitionBy("a").orderBy(F.col("alike").desc(), "b"))
+    return ends.withColumn("place", place).where("place <= 2").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def open_pairs(pairs: DataFrame, seen: DataFrame, roots: DataFrame) -> DataFrame:
+    """Those pairs, without the seen ones, whose ends are in different classes."""
+    root = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
+    rest = pairs.join(root("a"), "a", "left").join(root("b"), "b", "left")
+    return rest.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(*pairs.columns).join(seen, ["a", "b"], "left_anti")
+
+
 def near_duplicate_texts(docs: DataFrame) -> DataFrame:
     """tid, first and class_id (smallest doc_id of the class) for each different text with words."""
     texts = written(signed_texts(docs), "bmh-texts")
-    pairs = written(candidate_pairs(texts), "bmh-pairs")
-    ends = pairs.select("a", "b", "alike").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "alike"))
-    place = F.row_number().over(Window.partitionBy("a").orderBy(F.col("alike").desc(), "b"))
-    best = ends.withColumn("place", place).where("place <= 2").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    met = written(shared_buckets(texts), "bmh-met")
+    pairs = written(candidate_pairs(texts, met), "bmh-pairs")
+    best = best_two(pairs)
     links = written(verified(best, docs), "bmh-links")
     roots = written(components(links), "bmh-roots")
-    root = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
-    rest = pairs.join(root("a"), "a", "left").join(root("b"), "b", "left")
-    rest = rest.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b").join(best, ["a", "b"], "left_anti")
-    rest = written(rest, "bmh-rest")
+    rest = written(open_pairs(pairs.select("a", "b"), best, roots), "bmh-rest")
     if not rest.isEmpty():
         more = written(verified(rest, docs), "bmh-links")
         if not more.isEmpty():
-            roots = written(components(links.union(more)), "bmh-roots")
+            links = links.union(more)
+            roots = written(components(links), "bmh-roots")
+    between = written(pairs_between(texts, met, roots), "bmh-between")
+    if not between.isEmpty():
+        best = written(best_two(between), "bmh-best")
+        more = written(verified(best, docs), "bmh-links")
+        if not more.isEmpty():
+            links = links.union(more)
+            roots = written(components(links), "bmh-roots")
+        rest = written(open_pairs(between.drop("alike"), best, roots), "bmh-rest")
+        if not rest.isEmpty():
+            more = written(verified_in_tiles(rest, docs), "bmh-links")
+            if not more.isEmpty():
+                roots = written(components(links.union(more)), "bmh-roots")
     out = texts.select("tid", "first").join(roots.withColumnRenamed("node", "tid"), "tid", "left").withColumn("root", F.coalesce("root", "tid"))
     ids = out.groupBy("root").agg(F.min("first").alias("class_id"))
     return out.join(ids, "root").select("tid", "first", "class_id")

@@ -112,3 +112,42 @@ def test_components(spark):
     df = spark.createDataFrame(edges, "a bigint, b bigint")
     assert {r["node"]: r["root"] for r in components(df).collect()} == want
     assert components(df.limit(0)).count() == 0 and df.where(F.lit(False)).count() == 0
+
+
+def star(copies, seed=3):
+    """A text and copies of it, edited each on its own: all 0.8 like the first, most less like each other."""
+    rng = np.random.default_rng(seed)
+    base = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(200)]
+    rows = [(0, " ".join(base))]
+    for k in range(copies):
+        other = list(base)
+        for at in rng.choice(39, 4, replace=False) * 5 + 2:
+            other[at] = "".join(rng.choice(list("klmnopqrst"), 6))
+        rows.append((k + 1, " ".join(other)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [neardup.BLOCK, 50])
+def test_star_of_copies_is_one_class(spark, block, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "TILE", 20)
+    rows = star(400)
+    assert brute(rows) == {frozenset(range(401))}
+    assert {r["class_id"] for r in neardup.classes(frame(spark, rows)).collect()} == {0}
+
+
+def test_second_pass_has_every_pair_of_large_buckets(spark):
+    rows = star(150) + [(1000 + i, t) for i, t in star(60, 4)]
+    texts = neardup.written(neardup.signed_texts(frame(spark, rows).select("doc_id", "text")), "t")
+    met = neardup.written(neardup.shared_buckets(texts), "m")
+    none = spark.createDataFrame([], "node bigint, root bigint")
+    first = {(r["a"], r["b"]) for r in neardup.candidate_pairs(texts, met).collect()}
+    between = neardup.pairs_between(texts, met, none)
+    second = [(r["a"], r["b"]) for r in between.collect()]
+    assert len(second) == len(set(second))
+    signed = [(r["tid"], set(r["bands"]), np.frombuffer(r["short"], "<u2")) for r in texts.collect()]
+    want = {(min(x, y), max(x, y)) for x, p, s in signed for y, q, t in signed if x < y and p & q and (s == t).mean() >= neardup.ESTIMATE}
+    assert first | set(second) == want and first != want
+    docs = frame(spark, rows).select("doc_id", "text")
+    pairs = lambda df: {(r["a"], r["b"]) for r in df.collect()}
+    assert pairs(neardup.verified_in_tiles(between, docs)) == pairs(neardup.verified(between, docs)) != set()
