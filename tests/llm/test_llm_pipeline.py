@@ -29,3 +29,13 @@ def test_empty_documents_pass(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, DIR)
     assert docs.count() == 0
+
+
+def test_one_of_a_large_star_of_copies_stays(spark):
+    import test_llm_neardup
+
+    rows = test_llm_neardup.star(200)
+    docs = spark.read.parquet(f"{DIR}/documents.parquet").limit(1)
+    stars = spark.createDataFrame(rows, "doc_id bigint, text string")
+    docs = docs.drop("doc_id", "text").crossJoin(stars).select(docs.columns)
+    assert [r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, DIR).collect()] == [0]
