@@ -20,11 +20,12 @@ first the two best candidates of each text, then every candidate whose ends are
 still in different classes.
 
 This goes in two passes. The first takes all pairs of buckets of up to 16 texts and
-in larger ones pairs each text with three members only, which joins most of a large
-group at little cost. The second takes the larger buckets whose texts are still in
-different classes and compares all their texts of different classes, block against
-block. Pairs within a class need no look, since they cannot change it. A bucket of n
-texts that stay apart costs n * n / 2 comparisons of signatures.
+in larger ones pairs each text with three members only, drawn anew for each bucket,
+which joins most of a large group at little cost. The second takes the larger
+buckets whose texts are still in different classes and compares all their texts of
+different classes, block against block. Pairs within a class need no look, since
+they cannot change it. A bucket of n texts that stay apart costs n * n / 2
+comparisons of signatures.
 
 Classes are the components of the verified links.
 
@@ -187,8 +188,7 @@ def signed_texts(docs: DataFrame) -> DataFrame:
 def shared_buckets(texts: DataFrame) -> DataFrame:
     """key, tid, n (texts of the bucket) and a few members for each bucket of more than one text."""
     rows = texts.select("tid", F.explode("bands").alias("key"))
-    draws = [F.lit(int(x)) for x in np.random.default_rng(5).integers(0, 2**60, MEMBERS)]
-    drawn = [F.min(F.col("tid").bitwiseXOR(d)).bitwiseXOR(d) for d in draws]
+    drawn = [F.min_by("tid", F.xxhash64("key", "tid", F.lit(k))) for k in range(MEMBERS)]
     buckets = rows.groupBy("key").agg(F.count("*").alias("n"), *[d.alias(f"r{k}") for k, d in enumerate(drawn)]).where("n > 1")
     return rows.join(buckets, "key")
 

@@ -151,3 +151,8 @@ def test_second_pass_has_every_pair_of_large_buckets(spark):
     docs = frame(spark, rows).select("doc_id", "text")
     pairs = lambda df: {(r["a"], r["b"]) for r in df.collect()}
     assert pairs(neardup.verified_in_tiles(between, docs)) == pairs(neardup.verified(between, docs)) != set()
+
+
+def test_each_bucket_draws_its_own_members(spark):
+    met = neardup.shared_buckets(spark.createDataFrame([(t, list(range(24))) for t in range(40)], "tid bigint, bands array<bigint>"))
+    assert len({r[f"r{k}"] for r in met.collect() for k in range(neardup.MEMBERS)}) > neardup.MEMBERS
