@@ -49,13 +49,38 @@ def _tree(rng, depth):
     return node
 
 
-def test_walk_agrees_with_the_recursive_query(spark):
+def _texts(node, path):
+    """What a walk in the order of the tree should give."""
+    kind = node["type"].lower()
+    if kind in ("table", "image"):
+        return []
+    own = [(path, kind, node["content"].strip())] if kind in P.TEXT_TYPES and node["content"].strip() else []
+    return own + [x for k, kid in enumerate(node.get("kids", [])) for x in _texts(kid, (*path, k))]
+
+
+def test_walk_follows_the_order_of_the_tree(spark):
     rng = random.Random(3)
-    source = spark.createDataFrame([(str(k), json.dumps({"kids": [_tree(rng, 4) for _ in range(3)]})) for k in range(12)], "doc_key string, json string")
-    by_query = P.walk_in_sql(source).where(F.col("node_type").isin(*P.TEXT_TYPES) & (F.trim("content") != "")).select("doc_key", "path", F.trim("content").alias("text"))
-    by_walk = P.texts(P.documents(source)).select("doc_key", "path", "text")
-    key = lambda rows: sorted((r["doc_key"], tuple(r["path"]), r["text"]) for r in rows.collect())
-    assert key(by_query) == key(by_walk)
+    trees = {str(k): [_tree(rng, 4) for _ in range(3)] for k in range(12)}
+    source = spark.createDataFrame([(k, json.dumps({"kids": kids})) for k, kids in trees.items()], "doc_key string, json string")
+    want = {k: [x for i, kid in enumerate(kids) for x in _texts(kid, (i,))] for k, kids in trees.items()}
+    got = {k: [] for k in trees}
+    for r in P.texts(P.documents(source)).orderBy("doc_key", "path").collect():
+        got[r["doc_key"]].append((tuple(r["path"]), r["element_type"], r["text"]))
+    assert got == want
+
+
+def test_misfits_are_errors(spark):
+    bad = ['[1]', '{"kids": 3}', '{"kids": ["x"]}', '{"number of pages": "many"}', '{"kids": [{"type": "paragraph", "content": "a", "page number": "x"}]}', '{"kids": [{"type": "table", "rows": 7}]}', None, '{"kids": [], "x": 1}']
+    rows = P.documents(spark.createDataFrame(list(enumerate(bad)), "k int, json string")).select("k", "doc.error", F.col("doc").isNull().alias("none"), "doc.elements").orderBy("k").collect()
+    assert all(r["error"] and r["elements"] is None for r in rows[:6]) and rows[6]["none"] and rows[7]["error"] is None and rows[7]["elements"] == []
+
+
+def test_whole_numbers_as_text_and_with_fractions(spark):
+    tree = {"number of pages": "4", "kids": [{"type": "heading", "content": "a", "page number": 2.7, "heading level": "2.5", "font size": "9"}, {"type": "image", "bounding box": [1, "2", 3.5, 4, 5]}]}
+    found = P.documents(spark.createDataFrame([(json.dumps(tree),)], "json string"))
+    text, image = P.texts(found).first(), P.images(found).first()
+    assert P.headers(found).first()["page_count"] == 4 and (text["page_number"], text["heading_level"], text["font_size"]) == (2, None, 9.0)
+    assert tuple(image["bbox"]) == (1.0, 2.0, 3.5, 4.0)
 
 
 def test_matrices_overwrite_and_fill(spark):
