@@ -9,14 +9,30 @@ from pyspark.sql import types as T
 EMPTY_RUN = 3
 
 
-def stop_rule(pages: DataFrame, by: list[str], page: str = "page_number", items: str = "item_count", run: int = EMPTY_RUN) -> DataFrame:
-    """Pages up to and with the last of the first ``run`` consecutive empty (0) or failed (null) ones."""
+def every_page(pages: DataFrame, by: list[str], page: str, first: int, last: int) -> DataFrame:
+    """A row for each page from ``first`` to ``last`` and key; pages without a row have nulls."""
+    keys = pages.select(*by).distinct() if by else pages.sparkSession.range(1).select()
+    grid = keys.select(*by, F.explode(F.sequence(F.lit(first), F.lit(last))).alias(page))
+    return grid.join(pages, [*by, page], "left").select(*pages.columns)
+
+
+def stop_rule(pages: DataFrame, by: list[str], page: str = "page_number", items: str = "item_count", run: int = EMPTY_RUN, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Pages up to and with the last of the first ``run`` consecutive empty (0) or failed (null) ones.
+
+    A page without a row is a failed page: pages run from ``first`` to ``last``, by default the smallest and largest that there are.
+    """
+    if first is None or last is None:
+        ends = pages.agg(F.min(page), F.max(page)).first()
+        if ends[0] is None:
+            return pages
+        first, last = int(ends[0]) if first is None else first, int(ends[1]) if last is None else last
+    pages = every_page(pages, by, page, first, last)
     order = Window.partitionBy(*by).orderBy(page)
     empty = (F.coalesce(F.col(items), F.lit(0)) == 0).cast("int")
     streak = F.sum(empty).over(order.rowsBetween(-(run - 1), 0))
-    marked = pages.withColumn("_stop", F.when(streak == run, F.col(page)))
-    whole = Window.partitionBy(*by)
-    return marked.withColumn("_stop", F.min("_stop").over(whole)).where(F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))).drop("_stop")
+    stops = pages.withColumn("_streak", streak).where(F.col("_streak") == run).groupBy(*by).agg(F.min(page).alias("_stop"))
+    kept = pages.join(stops, by, "left") if by else pages.join(F.broadcast(stops))
+    return kept.where(F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))).select(*pages.columns)
 
 
 def page_window(pages: DataFrame, start: int, n: int | None, page: str = "page_number") -> DataFrame:
@@ -45,17 +61,18 @@ def outcome_of_attempts(attempts: DataFrame, by: list[str], most: int = 3) -> Da
 
 def last_page(pages: DataFrame, start: int, most: int, step: int = 10, page: str = "page_number", has: str = "has_data") -> DataFrame:
     """One row, last_page: jumps of ``step`` while there is data, then page by page to the first gap. ``start`` if that page is empty."""
-    data = pages.where(has).select(F.col(page).alias("p")).distinct()
-    jumps = F.sequence(F.lit(start), F.lit(max(start, most)), F.lit(step))
-    probes = pages.sparkSession.range(1).select(F.explode(jumps).alias("p"), F.lit(True).alias("asked"))
-    seen = probes.join(data.withColumn("there", F.lit(True)), "p", "left")
-    edge = seen.agg(F.min(F.when(F.col("there").isNull(), F.col("p"))).alias("gap"), F.max("p").alias("top"))
+    spark = pages.sparkSession
+    data = pages.where(has).select(F.col(page).cast("long").alias("p")).distinct()
+    probes = spark.range(start, max(start, most) + 1, step).withColumnRenamed("id", "p")
+    gap = probes.join(data, "p", "left_anti").agg(F.min("p")).first()[0]
+    top = start + (max(start, most) - start) // step * step
     # the last probe that held data, from which the linear stretch begins
-    base = edge.select(F.when(F.col("gap").isNull(), F.col("top")).otherwise(F.greatest(F.col("gap") - step, F.lit(start))).alias("base"))
-    run = data.crossJoin(F.broadcast(base)).where((F.col("p") >= F.col("base")) & (F.col("p") <= most))
-    place = F.row_number().over(Window.partitionBy("base").orderBy("p")) - 1
-    tight = run.withColumn("gap", F.col("p") - F.col("base") - place).where("gap = 0").agg(F.max("p").alias("m"))
-    return tight.crossJoin(base).select(F.coalesce("m", F.lit(start)).cast("int").alias("last_page"))
+    base = top if gap is None else max(gap - step, start)
+    # the first page from there on whose successor has no data
+    ends = data.where((F.col("p") >= base) & (F.col("p") <= most)).join(data.select((F.col("p") - 1).alias("p")).where(F.col("p") < most), "p", "left_anti")
+    end = ends.agg(F.min("p").alias("m"))
+    held = data.where(F.col("p") == base).agg(F.count("*").alias("n"))
+    return end.withColumn("n", F.lit(held.first()[0])).select(F.when(F.col("n") > 0, F.coalesce("m", F.lit(start))).otherwise(F.lit(start)).cast("int").alias("last_page"))
 
 
 def sample_prefix(pages: DataFrame, by: list[str], k: int, page: str = "page_number", items: str = "item_count") -> DataFrame:
@@ -92,7 +109,7 @@ def breaker(events: DataFrame, by: list[str], failures: int = 5, rest_seconds: f
         group = group.sort_values("ts", kind="stable")
         state, count, since, states, let = "closed", 0, 0.0, [], []
         for ts, ok in zip(group["ts"], group["ok"], strict=True):
-            if state == "open" and ts - since > rest_seconds:
+            if state == "open" and ts - since >= rest_seconds:
                 state = "half_open"
             states.append(state)
             let.append(state != "open")

@@ -23,28 +23,32 @@ class BreakerOpen(RuntimeError):
 
 @dataclass
 class ErrorCounts:
-    """Failures since the last success, by operation."""
+    """Failures since the last success, and the last error, by operation. A success sets a count that is there to 0."""
 
     counts: dict[str, int] = field(default_factory=dict)
+    last: dict[str, str] = field(default_factory=dict)
 
-    def failed(self, operation: str) -> None:
+    def failed(self, operation: str, problem: BaseException | str = "") -> None:
         self.counts[operation] = self.counts.get(operation, 0) + 1
+        self.last[operation] = str(problem)
 
     def succeeded(self, operation: str) -> None:
-        self.counts.pop(operation, None)
+        if operation in self.counts:
+            self.counts[operation] = 0
 
     def reset(self, operation: str | None = None) -> None:
-        if operation is None:
-            self.counts.clear()
-        else:
-            self.succeeded(operation)
+        for known in (self.counts, self.last):
+            if operation is None:
+                known.clear()
+            else:
+                known.pop(operation, None)
 
     def stats(self) -> dict[str, Any]:
-        return {"total_errors": sum(self.counts.values()), "error_counts": dict(self.counts)}
+        return {"error_counts": dict(self.counts), "last_errors": dict(self.last), "total_functions_with_errors": len(self.counts), "total_errors": sum(self.counts.values())}
 
 
-def retry(most: int = 3, delay: float = 1.0, factor: float = 1.5, counts: ErrorCounts | None = None, wait: Callable[[float], None] = time.sleep):
-    """``most`` retries after the first attempt, with growing waits; the last error surfaces."""
+def retry(most: int = 3, delay: float = 1.0, factor: float = 1.5, counts: ErrorCounts | None = None, wait: Callable[[float], None] = time.sleep, errors: tuple[type[BaseException], ...] = (Exception,)):
+    """``most`` retries after the first attempt, with growing waits; the last error surfaces. Only ``errors`` are tried again and counted."""
 
     def wrap(f: Callable[..., T]) -> Callable[..., T]:
         @functools.wraps(f)
@@ -53,15 +57,15 @@ def retry(most: int = 3, delay: float = 1.0, factor: float = 1.5, counts: ErrorC
             while True:
                 try:
                     out = f(*args, **kwargs)
-                except Exception:
-                    if counts:
-                        counts.failed(f.__name__)
+                except errors as problem:
+                    if counts is not None:
+                        counts.failed(f.__name__, problem)
                     pause = next(waits, None)
                     if pause is None:
                         raise
                     wait(pause)
                 else:
-                    if counts:
+                    if counts is not None:
                         counts.succeeded(f.__name__)
                     return out
 
@@ -70,7 +74,7 @@ def retry(most: int = 3, delay: float = 1.0, factor: float = 1.5, counts: ErrorC
     return wrap
 
 
-def retry_async(most: int = 3, delay: float = 1.0, factor: float = 1.5, counts: ErrorCounts | None = None, wait: Callable[[float], Awaitable[None]] = asyncio.sleep):
+def retry_async(most: int = 3, delay: float = 1.0, factor: float = 1.5, counts: ErrorCounts | None = None, wait: Callable[[float], Awaitable[None]] = asyncio.sleep, errors: tuple[type[BaseException], ...] = (Exception,)):
     """:func:`retry` for coroutines."""
 
     def wrap(f: Callable[..., Awaitable[T]]) -> Callable[..., Awaitable[T]]:
@@ -80,15 +84,15 @@ def retry_async(most: int = 3, delay: float = 1.0, factor: float = 1.5, counts:
             while True:
                 try:
                     out = await f(*args, **kwargs)
-                except Exception:
-                    if counts:
-                        counts.failed(f.__name__)
+                except errors as problem:
+                    if counts is not None:
+                        counts.failed(f.__name__, problem)
                     pause = next(waits, None)
                     if pause is None:
                         raise
                     await wait(pause)
                 else:
-                    if counts:
+                    if counts is not None:
                         counts.succeeded(f.__name__)
                     return out
 
@@ -109,15 +113,16 @@ class CircuitBreaker:
     since: float = 0.0
 
     def call(self, f: Callable[..., T], *args, **kwargs) -> T:
+        now = self.clock()  # of the start of the call, which is also the time of its failure
         if self.state == "open":
-            if self.clock() - self.since <= self.rest:
+            if now - self.since < self.rest:
                 raise BreakerOpen(getattr(f, "__name__", "call"))
             self.state = "half_open"
         try:
             out = f(*args, **kwargs)
         except Exception:
             self.count += 1
-            self.since = self.clock()
+            self.since = now
             if self.count >= self.failures:
                 self.state = "open"
             raise

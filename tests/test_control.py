@@ -26,9 +26,14 @@ def test_retries_wait_longer_each_time():
     assert waits == [2.0, 3.0] and counts.stats()["total_errors"] == 0
     with pytest.raises(OSError):
         K.retry(1, counts=counts, wait=waits.append)(failing(5))()
-    assert counts.stats() == {"total_errors": 2, "error_counts": {"call": 2}}
+    assert counts.stats() == {"total_errors": 2, "error_counts": {"call": 2}, "last_errors": {"call": "no"}, "total_functions_with_errors": 1}
+    K.retry(0, counts=counts)(failing(0))()
+    assert counts.stats() == {"total_errors": 0, "error_counts": {"call": 0}, "last_errors": {"call": "no"}, "total_functions_with_errors": 1}
+    with pytest.raises(OSError):  # another kind of error is neither counted nor tried again
+        K.retry(3, counts=counts, wait=waits.append, errors=(ValueError,))(failing(1))()
+    assert counts.stats()["total_errors"] == 0
     counts.reset()
-    assert counts.counts == {}
+    assert counts.counts == counts.last == {}
 
     async def nothing(_):
         return None
@@ -41,6 +46,19 @@ def test_retries_wait_longer_each_time():
     assert asyncio.run(K.retry_async(2, wait=nothing)(call)()) == "done"
 
 
+def test_breaker_stamps_the_start_of_a_call():
+    now = [5.0]
+
+    def slow():
+        now[0] = 50.0
+        raise OSError
+
+    b = K.CircuitBreaker(1, 10.0, clock=lambda: now[0])
+    with pytest.raises(OSError):
+        b.call(slow)
+    assert b.since == 5.0 and b.call(failing(0)) == "done"
+
+
 def test_breaker_and_limiter():
     now = [0.0]
     b = K.CircuitBreaker(2, 10.0, clock=lambda: now[0])
@@ -49,7 +67,10 @@ def test_breaker_and_limiter():
             b.call(failing(1))
     with pytest.raises(K.BreakerOpen):
         b.call(failing(0))
-    now[0] = 11.0
+    now[0] = 9.99
+    with pytest.raises(K.BreakerOpen):
+        b.call(failing(0))
+    now[0] = 10.0  # at the border a call goes through
     assert b.call(failing(0)) == "done" and (b.state, b.count) == ("closed", 0)
     waits = []
     r = K.RateLimiter(2.0, clock=lambda: now[0], wait=waits.append)

@@ -62,8 +62,14 @@ def test_pages_attempts_and_rate(spark):
     assert C.retry_delays(3, 2.0) == [2.0, 3.0, 4.5]
 
 
+def test_missing_pages_are_failed_pages(spark):
+    log = spark.createDataFrame([(1, 3), (2, 0), (6, 4), (9, 1)], "page_number int, item_count int")
+    assert sorted(r["page_number"] for r in C.stop_rule(log, []).collect()) == [1, 2, 3, 4]
+    assert C.stop_rule(log.limit(0), []).count() == 0
+
+
 def test_breaker(spark):
-    events = [(float(t), ok) for t, ok in [(0, True), *[(k, False) for k in range(1, 6)], (6, True), (70, True), (71, False)]]
+    events = [(float(t), ok) for t, ok in [(0, True), *[(k, False) for k in range(1, 6)], (6, True), (65, True), (71, False)]]
     rows = C.breaker(spark.createDataFrame(events, "ts double, ok boolean").withColumn("k", F.lit(1)), ["k"]).orderBy("ts").collect()
     assert [(r["state"], r["allowed"]) for r in rows] == [("closed", True)] * 6 + [("open", False), ("half_open", True), ("closed", True)]
 
