@@ -158,11 +158,13 @@ def _selected(root: Node) -> Node | None:
     return None
 
 
-def detail(html: str | None) -> tuple[str, str, list[tuple[str, str]], list[tuple[str, str | None, str | None, str, str]]]:
-    """(whole text, content before cleaning, key/value pairs in order, link elements) of a detail page.
+def links(root: Node) -> list[tuple[str, str | None, str | None, str, str]]:
+    """Link elements: (tag, href, onclick, stripped text, text as shown)."""
+    return [(n.name, n.attrs.get("href"), n.attrs.get("onclick"), n.text(strip=True), n.text().strip()) for n in root.all("a", "button")]
+
 
-    A link element is (tag, href, onclick, stripped text, text as shown).
-    """
+def detail(html: str | None) -> tuple[str, str, list[tuple[str, str]], list[tuple[str, str | None, str | None, str, str]]]:
+    """(whole text, content before cleaning, key/value pairs in order, link elements) of a detail page."""
     root = parse(html)
     chosen = _selected(root)
     content = chosen.text("\n", strip=True) if chosen else ""
@@ -181,5 +183,4 @@ def detail(html: str | None) -> tuple[str, str, list[tuple[str, str]], list[tupl
             key, value = term.text(strip=True), said.text(strip=True)
             if key and value:
                 pairs.append((key, value))
-    links = [(n.name, n.attrs.get("href"), n.attrs.get("onclick"), n.text(strip=True), n.text().strip()) for n in root.all("a", "button")]
-    return root.text(), content, pairs, links
+    return root.text(), content, pairs, links(root)

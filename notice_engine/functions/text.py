@@ -123,8 +123,11 @@ def join_url(base: Column, href: Column) -> Column:
 
 
 def unquote(c: Column) -> Column:
-    """Percent-decoding that keeps ``+``; text whose escapes are malformed stays as it is."""
-    return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+    """Percent-decoding of every valid escape, as UTF-8 with bad bytes replaced; other signs stay, also ``+`` and escapes that are none."""
+    lone = F.regexp_replace(F.replace(c, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
+    escaped = F.regexp_extract_all(lone, F.lit("(%[0-9A-Fa-f]{2}|[^%]+)"), 1)
+    raw = F.transform(escaped, lambda x: F.when(x.startswith("%"), F.unhex(F.substr(x, F.lit(2), F.lit(2)))).otherwise(x.cast("binary")))
+    return F.make_valid_utf8(F.aggregate(raw, F.lit(b""), lambda s, x: F.concat(s, x)).cast("string"))
 
 
 def or_default(c: Column, empty, default) -> Column:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from notice_engine.functions import html as H
 from notice_engine.functions import text as X
@@ -20,13 +24,19 @@ def _udf(f, kind: str):
     return F.udf(f, T._parse_datatype_string(kind), useArrow=True)
 
 
-def list_rows(pages: DataFrame) -> DataFrame:
-    """(page_number, html) -> one row per notice in the list table."""
+def stamp(now: datetime | None) -> Column:
+    """When rows are extracted, as ISO text; ``now`` fixes the clock."""
+    return F.lit((now or datetime.now()).isoformat())
+
+
+def list_rows(pages: DataFrame, now: datetime | None = None) -> DataFrame:
+    """(page_number, html) -> one row per notice in the list table, with ``extraction_date``."""
     ship(pages.sparkSession)
     rows = pages.select(F.col("page_number").cast("int").alias("page_number"), F.inline(_udf(H.list_rows, _ROWS)("html")))
     more = F.when(F.size("cells") > 5, F.map_from_arrays(F.transform(F.sequence(F.lit(5), F.size("cells") - 1), lambda i: F.concat(F.lit("additional_field_"), i.cast("string"))), F.transform(F.expr("slice(cells, 6, size(cells))"), X.clean_text)))
     fields = [X.clean_text(F.col("cells")[k]).alias(n) for k, n in enumerate(FIELDS)]
-    return rows.select("page_number", "row_number", *fields, F.coalesce(more, F.expr("cast(map() as map<string,string>)")).alias("additional_fields"), F.when(F.size("links") > 0, F.col("links")).alias("links")).to(T._parse_datatype_string(f"struct<{', '.join(f'{a}:{b}' for a, b in (x.split(' ', 1) for x in NOTICE.split(', ')))}>"))
+    rows = rows.select("page_number", "row_number", *fields, F.coalesce(more, F.expr("cast(map() as map<string,string>)")).alias("additional_fields"), F.when(F.size("links") > 0, F.col("links")).alias("links"))
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in T._parse_datatype_string(NOTICE).fields], stamp(now).alias("extraction_date"))
 
 
 def page_info(pages: DataFrame) -> DataFrame:
@@ -43,7 +53,10 @@ def has_data(pages: DataFrame) -> DataFrame:
 
 def last_wins(pairs: Column) -> Column:
     """array<struct<key,value>> -> map; of equal keys the last value stays."""
-    return F.map_from_entries(F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda y: y["key"] == x["key"])))
+    numbered = F.array_sort(F.transform(pairs, lambda x, i: F.struct(x["key"].alias("k"), i.alias("i"), x["value"].alias("v"))))
+    n = F.size(numbered)
+    last = F.filter(numbered, lambda x, i: (i == n - 1) | (F.get(numbered, i + 1)["k"] != x["k"]))
+    return F.map_from_entries(F.transform(last, lambda x: F.struct(x["k"], x["v"])))
 
 
 _EMPTY = ("file_id", "display_name", "link_text", "href", "file_extension", "filename", "onclick")
@@ -61,14 +74,14 @@ def _with_extension(anchors: Column, extension: str) -> Column:
     return F.transform(hit, lambda x: _link("direct_link", href=x["href"], link_text=x["stripped"], file_extension=F.lit(extension)))
 
 
-def links_static(links: Column) -> Column:
+def links_static(links: Column, extensions: tuple[str, ...] = X.EXTENSIONS) -> Column:
     """Attachment links of a saved page: script calls, then links by extension (a link once for each that it contains), then click handlers. Duplicates stay."""
     anchors = F.filter(links, lambda x: (x["tag"] == "a") & (F.coalesce(x["href"], F.lit("")) != ""))
     calls = F.transform(
         F.filter(anchors, lambda x: F.contains(x["href"], F.lit("download(")) & x["href"].rlike(_CALL)),
         lambda x: _link("javascript_download", file_id=F.regexp_extract(x["href"], _CALL, 1), display_name=F.regexp_extract(x["href"], _CALL, 2), link_text=x["stripped"], href=x["href"]),
     )
-    direct = F.flatten(F.array(*[_with_extension(anchors, e) for e in X.EXTENSIONS]))
+    direct = F.flatten(F.array(*[_with_extension(anchors, e) for e in extensions]))
     clicks = F.transform(F.filter(links, lambda x: F.contains(F.lower(F.coalesce(x["onclick"], F.lit(""))), F.lit("download"))), lambda x: _link("onclick_download", onclick=x["onclick"], link_text=x["stripped"]))
     return F.concat(calls, direct, clicks)
 
@@ -87,18 +100,42 @@ def links_live(links: Column) -> Column:
     return F.concat(calls, direct, clicks)
 
 
-def details(pages: DataFrame, live: bool = False, with_links: bool = False) -> DataFrame:
-    """(sequence_number, html, other columns) -> detail records. A page that cannot be parsed has ``error`` instead. ``with_links``: also all link elements."""
+def _parsed(pages: DataFrame, read, kind: str, name: str) -> DataFrame:
+    """All columns but html, and what ``read`` makes of it; an Arrow batch at a time."""
     ship(pages.sparkSession)
+    rest = [c for c in pages.columns if c != "html"]
+    schema = T.StructType([*[pages.schema[c] for c in rest], T.StructField(name, T._parse_datatype_string(kind))])
+    made = to_arrow_type(schema[name].dataType)
+
+    def run(batches):
+        for batch in batches:
+            out = pa.array([read(page.as_py()) for page in batch.column(len(rest))], made)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], out], names=[*rest, name])
+
+    return pages.select(*rest, "html").mapInArrow(run, schema)
+
+
+_LINK_NAMES = ("tag", "href", "onclick", "stripped", "shown")
+
+
+def page_links(pages: DataFrame) -> DataFrame:
+    """(html, other columns) -> other columns and ``links``, all link elements of the page; nothing else of it is computed."""
+    kind = "array<struct<tag:string,href:string,onclick:string,stripped:string,shown:string>>"
+    return _parsed(pages, lambda html: [dict(zip(_LINK_NAMES, x, strict=True)) for x in H.links(H.parse(html))], kind, "links")
+
+
+def details(pages: DataFrame, live: bool = False, now: datetime | None = None) -> DataFrame:
+    """(sequence_number, html, other columns) -> detail records, with ``extraction_date``. A page that cannot be parsed has ``error`` instead. A column ``detail_url`` stays."""
 
-    def safe(page):
+    def read(html):
         try:
-            return None, H.detail(page)
+            text, content, pairs, links = H.detail(html)
         except Exception as problem:
-            return str(problem), None
+            return {"error": str(problem), "d": None}
+        return {"error": None, "d": {"text": text, "content": content, "pairs": [{"key": k, "value": v} for k, v in pairs], "links": [dict(zip(_LINK_NAMES, x, strict=True)) for x in links]}}
 
-    parsed = pages.withColumn("_p", _udf(safe, f"struct<error:string,d:{_DETAIL}>")("html"))
-    d, text = F.col("_p.d"), F.coalesce(F.col("_p.d.text"), F.lit(""))
+    parsed = _parsed(pages, read, f"struct<error:string,d:{_DETAIL}>", "_page")
+    d, text = F.col("_page.d"), F.coalesce(F.col("_page.d.text"), F.lit(""))
     return parsed.select(
         *[c for c in pages.columns if c != "html"],
         X.clean_text(d["content"]).alias("notice_content"),
@@ -109,8 +146,8 @@ def details(pages: DataFrame, live: bool = False, with_links: bool = False) -> D
         X.contact(text).alias("contact_info"),
         X.deadline(text).alias("deadline_info"),
         last_wins(d["pairs"]).alias("additional_info"),
-        F.col("_p.error").alias("error"),
-        *([d["links"].alias("links")] if with_links else []),
+        F.col("_page.error").alias("error"),
+        stamp(now).alias("extraction_date"),
     )
 
 

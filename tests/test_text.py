@@ -1,3 +1,5 @@
+import urllib.parse
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,6 +61,7 @@ def test_court_line_and_ids(spark):
 def test_names_and_urls(spark):
     name = lambda c: X.planned_name(F.lit(3), c, F.lit("17_1.hwp"))
     assert run(spark, name, ["a/b", "x.PDF", "dir.docx"]) == ["03_a_b.hwp", "03_x.PDF", "03_dir.docx"]
-    assert run(spark, X.unquote, ["a%20b+c", "100%", "%EA%B0%80"]) == ["a b+c", "100%", "가"]
+    texts = ["a%20b+c", "100%", "%EA%B0%80", "%zz%41%4", "", "%FF", "가%41나", "%%41", "%e9%20x"]
+    assert run(spark, X.unquote, texts) == [urllib.parse.unquote(t) for t in texts]
     join = lambda c: X.join_url(F.lit("https://h.kr:1/a/b?c"), c)
     assert run(spark, join, ["/x/y", "z", "http://o/"]) == ["https://h.kr:1/x/y", "z", "http://o/"]
