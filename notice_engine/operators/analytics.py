@@ -168,6 +168,7 @@ def batch_totals(outcomes: DataFrame) -> DataFrame:
 
 
 def error_stats(events: DataFrame) -> DataFrame:
-    """(operation, ok, ord): failures since the last success of each operation."""
-    last = F.max(F.when(F.col("ok"), F.col("ord"))).over(Window.partitionBy("operation"))
-    return events.withColumn("_last", last).groupBy("operation").agg(F.count_if(~F.col("ok") & (F.col("ord") > F.coalesce("_last", F.lit(-1)))).alias("error_count"))
+    """(operation, ok, ord, and error if there is such a column): failures since the last success of each operation, and its last error."""
+    last = events.groupBy("operation").agg(F.max(F.when(F.col("ok"), F.col("ord"))).alias("_last"))
+    said = [F.max_by(F.when(~F.col("ok"), F.col("error")), F.when(~F.col("ok"), F.col("ord"))).alias("last_error")] if "error" in events.columns else []
+    return events.join(last, "operation").groupBy("operation").agg(F.count_if(~F.col("ok") & (F.col("ord") > F.coalesce("_last", F.lit(-1)))).alias("error_count"), *said)

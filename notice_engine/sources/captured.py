@@ -89,3 +89,8 @@ def initialise(spark: SparkSession, ddl: str) -> int:
 def jdbc(spark: SparkSession, url: str, name: str, **options: str) -> DataFrame:
     """A table of an external database, where its driver is on the class path."""
     return spark.read.format("jdbc").options(url=url, dbtable=name, **options).load()
+
+
+def probe(spark: SparkSession, url: str, query: str = "SELECT 1 AS one", **options: str) -> bool:
+    """Whether an external database answers; errors of the connection surface."""
+    return spark.read.format("jdbc").options(url=url, query=query, **options).load().first() is not None

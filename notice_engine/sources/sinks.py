@@ -12,6 +12,8 @@ from notice_engine.operators import analytics as A
 
 # Headings and widths of the summary's tables.
 FIELD_TABLE = (("Field", 25), ("Total", 8), ("Non-Empty", 12), ("Fill Rate", 10))
+#: Array files up to this size are written anew by the driver.
+MOST_ARRAY_BYTES = 64_000_000
 GROUP_TABLE = (("Jurisdiction", 30), ("Count", 8), ("Percentage", 10))
 
 
@@ -70,16 +72,39 @@ def appended_columns(new: DataFrame, header: list[str]) -> DataFrame:
     return new.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in new.columns else F.lit("").alias(c) for c in header])
 
 
+def extended_array(new: DataFrame, path: str) -> None:
+    """Add rows to a file that holds one JSON array; another value becomes its first item. For files and rows that a driver can hold."""
+    spark = new.sparkSession
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.getFileStatus(at).getLen() > MOST_ARRAY_BYTES:
+        raise ValueError(f"{path} is too large to be written anew; write JSON lines")
+    old = json.loads(spark.read.text(path, wholetext=True).first()["value"])
+    added = json.loads(pretty_json(new))
+    text = json.dumps((old if isinstance(old, list) else [old]) + added, ensure_ascii=False, indent=2)
+    beside = jvm.org.apache.hadoop.fs.Path(f"{path}.new")
+    out = files.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    files.delete(at, False)
+    files.rename(beside, at)
+
+
 def append(new: DataFrame, path: str) -> bool:
     """Add rows to a file that is there, by its kind; False for a missing file or another kind."""
     spark = new.sparkSession
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(at):
         return False
     if path.endswith(".csv"):
         header = spark.read.option("header", True).csv(path).columns
         appended_columns(flattened(new), header).write.mode("append").option("header", True).option("escape", '"').csv(path)
         return True
+    if path.endswith(".json") and files.getFileStatus(at).isFile():
+        extended_array(new, path)
+        return True
     if path.endswith(".json"):
         new.write.mode("append").option("ignoreNullFields", "false").json(path)
         return True

@@ -1,3 +1,4 @@
+import json
 import random
 from datetime import datetime
 
@@ -100,3 +101,26 @@ def test_statements():
     assert captured.split_statements("") == [] and captured.split_statements("  \n ") == []
     assert captured.split_statements("CREATE A;\n\nCREATE B;\n") == ["CREATE A", "CREATE B"] and captured.split_statements("-- only\n;\nX") == ["X"]
     assert captured.split_statements("SELECT 1") == ["SELECT 1"]
+
+
+def test_an_array_file_is_extended(spark, tmp_path):
+    from notice_engine.sources import sinks
+
+    new = spark.createDataFrame([(2, "나")], "a int, b string")
+    for name, text, first in (("l", '[{"a": 1}]', [{"a": 1}]), ("o", '{"a": 1}', [{"a": 1}])):
+        path = tmp_path / f"{name}.json"
+        path.write_text(text, encoding="utf-8")
+        assert sinks.append(new, str(path))
+        assert json.loads(path.read_text(encoding="utf-8")) == [*first, {"a": 2, "b": "나"}]
+    assert not sinks.append(new, str(tmp_path / "none.json"))
+
+
+def test_tables_of_a_database(spark, tmp_path):
+    from notice_engine.sources import captured
+
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
+    rows.write.format("jdbc").option("url", url).option("dbtable", "t").option("driver", "org.apache.derby.jdbc.EmbeddedDriver").save()
+    options = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    assert captured.jdbc(spark, url, "t", **options).count() == 2
+    assert captured.probe(spark, url, "SELECT 1 AS one FROM sysibm.sysdummy1", **options)
