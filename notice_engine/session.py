@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -10,6 +11,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+_SCRATCH: list[tuple[SparkSession, str]] = []
 
 
 def ship(spark: SparkSession) -> None:
@@ -41,12 +43,32 @@ def shared_folder(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder's name in the shared folder. It is removed by :func:`clear`, or when this process ends."""
+    path = f"{shared_folder(spark)}/notice-{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def clear() -> None:
+    """Remove the folders of :func:`written` tables. Results that are still to be computed from them are lost."""
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@atexit.register
+def _clear_at_exit() -> None:
+    if SparkSession.getActiveSession() is not None:  # else the session is gone, and with it the way to the folder
+        clear()
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder as Parquet and read it again."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/notice-{label}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
