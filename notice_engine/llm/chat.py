@@ -3,8 +3,8 @@
 A template is any function from a list of turns to a string. Nothing about it is
 assumed: the turns of a conversation are rendered prefix after prefix, and what
 each output adds to the one before is the span of its turn. Within the span, the
-turn's text is found by rendering the prefix once more with a one-character probe
-as the last text. If an output does not begin with the one before, the template
+turn's text is found by rendering the prefix once more with a probe that does not occur
+in the output as the last text. If an output does not begin with the one before, the template
 rewrites history; the conversation is marked, and each turn is then located by
 probing it in the whole conversation.
 
@@ -74,15 +74,26 @@ class Formatted:
     rewrites_history: bool = False
 
 
+def _probe(out: str) -> str:
+    """A private-use character that ``out`` lacks; if it has them all, the first pair of two different ones that it lacks."""
+    letters = [chr(c) for c in range(0xE000, 0xF900)]
+    used = set(out)
+    for c in letters:
+        if c not in used:
+            return c
+    pairs = {a + b for a, b in zip(out, out[1:], strict=False)}
+    return next(a + b for a in letters for b in letters if a != b and a + b not in pairs)
+
+
 def _content(render: Callable[[list[Turn]], str], turns: list[Turn], at: int, out: str) -> tuple[int, int]:
     """Where the text of turn ``at`` lies in ``out``, by rendering with a probe in its place."""
-    probe = next(c for c in map(chr, range(0xE000, 0xF8FF)) if c not in out)
+    probe = _probe(out)
     probed = render([*turns[:at], (turns[at][0], probe), *turns[at + 1 :]])
     start = probed.find(probe)
     if start < 0:  # the template leaves this text out
         n = len(os.path.commonprefix([probed, out]))
         return n, n
-    return start, max(start, len(out) - (len(probed) - start - 1))
+    return start, max(start, len(out) - (len(probed) - start - len(probe)))
 
 
 def incremental(turns: list[Turn], render: Callable[[list[Turn]], str]) -> Formatted:
