@@ -1,7 +1,9 @@
 import hashlib
 import math
+import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from notice_engine.llm import chat, topk, warc
@@ -74,46 +76,101 @@ def test_topk_against_brute_force(spark):
 
 def test_bounds_skip_candidates():
     rng = np.random.default_rng(3)
-    x = np.concatenate([rng.normal(c, 1, (500, 6)) for c in (0, 40, 80, 120)]).astype(np.int64)
-    pivots = x[::250].astype(float)
-    table = topk._distances(x.astype(float), pivots)
-    found = topk.best_in_block(np.array([1999]), x[-1:], table[-1:], np.arange(2000), x, table, 5)
+    x = np.concatenate([rng.normal(c, 1, (500, 6)) for c in (0, 40, 80, 120)]).round()
+    pivots = x[::250]
+    table = topk._distances(x, pivots)
+    found, evaluated = topk.best_in_block(np.array([1999]), x[-1:], table[-1:], np.array([-np.inf]), np.arange(2000), x, table, 5)
     scores = x @ x[-1]
     scores[1999] = -(10**9)
-    assert [f[2] for f in found] == sorted(scores.tolist(), reverse=True)[:5] and found[0][3] < 1000
+    assert [f[2] for f in found] == sorted(scores.tolist(), reverse=True)[:5] and evaluated < 1000
+
+
+def test_candidates_are_dropped_before_they_are_sent(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 8)
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 100)
+    rng = np.random.default_rng(6)
+    rows = [(int(i), (rng.normal(0, 0.05, 6) + np.eye(6)[i % 6] * 4).astype(np.float32).tolist()) for i in range(1200)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    vectors = df.select(F.col("vec_id").alias("id"), topk.integers(F.col("embedding")).alias("v"))
+    pairs = topk.scored_pairs(vectors, F.col("id") % 50 == 0, 5)
+    assert sorted(map(tuple, topk.best_of(pairs, 5).collect())) == brute_topk(rows, 5)
+    assert pairs.agg(F.sum("evaluated")).first()[0] < 24 * 1200 / 3  # a third of all pairs at most
+
+
+def test_components_of_any_size(spark):
+    rows = [(0, [1e10, 0.0]), (50, [1.5e10, -3.0]), (1, [2.0**45, 1.0]), (2, [0.25, 1e9]), (3, [-7.0, 0.3])]
+    run = lambda r: topk.top_k(spark.createDataFrame(r, "id bigint, v array<double>").where(topk.usable(F.col("v"))).select("id", topk.integers(F.col("v")).alias("v")), F.col("id") % 50 == 0, 5)
+    small = [(i, [x / 2**20 for x in v]) for i, v in rows]
+    assert sorted(map(tuple, run(small).collect())) == brute_topk(small, 5)
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        run([(0, [1e12]), (1, [1e12])]).collect()
+    with pytest.raises(Exception, match="beyond a double"):
+        run([(0, [1e308]), (1, [1.0])]).collect()
+    assert run([(0, [1e12]), (1, [1e-3]), (2, [0.0])]).count() == 2
+
+
+def test_probe_when_all_letters_occur():
+    every = "".join(map(chr, range(0xE000, 0xF900)))
+    turns = [("user", every), ("assistant", every[::-1] + "x")]
+    found = chat.incremental(turns, chat.instruction_template)
+    assert [found.text[a:b] for a, b in found.contents] == [t for _, t in turns]
 
 
 def pages(spark, rows):
     return spark.createDataFrame([(*r, 1, "f", 2) for r in rows], "page_id bigint, url string, html string, seq int, file string, start int")
 
 
+def _archive(spark, rows, label):
+    return warc.read_files(spark, warc.write_files(rows, label))
+
+
 def test_audit_finds_exactly_the_damage(spark):
-    rows = [(k, f"http://h/{k}", f"<p>{'x' * (k % 37)}</p>") for k in range(300)] + [(None, None, None), (None, "u", ""), (5, "http://h/5", "<p>xxxxx</p>"), (900, "long", "y" * 200000)]
+    rows = [(k, f"http://h/{k}", f"<p>{'x' * (k % 37)}</p>\r\n\r\nmore") for k in range(300)] + [(None, None, None), (None, "u", ""), (5, "http://h/5", "<p>x</p>"), (5, "http://h/5", "<p>x</p>"), (900, "long", "y" * 200000)]
     d = pages(spark, rows)
-    assert warc.fixity(d, d).where("finding <> 'ok'").count() == 0 and warc.fixity(d, d).count() == len(rows)
-    hurt = [(i, u, "<p>DAMAGE" + (h or "")[9:] if i in (17, 140) else h) for i, u, h in rows]
-    left, right = warc.archive(d, 4), warc.archive(pages(spark, hurt), 4)
+    same = warc.fixity(d, lambda p: p)
+    assert same.where("finding <> 'ok'").count() == 0 and same.count() == len(rows)
+    assert sorted(str(r["page_id"]) for r in same.collect()) == sorted(str(r[0]) for r in rows)
+    placed = warc.placed(d)
+    hurt = F.when(F.col("page_id").isin(17, 140), F.concat(F.lit("DAMAGE"), F.substr("html", F.lit(7)))).otherwise(F.col("html"))
+    left, right = _archive(spark, placed, "l"), _archive(spark, placed.withColumn("html", hurt), "r")
     found, compared = warc.audit(left, right)
-    a = {(r["file"], r["seq"]): (r["start"], r["size"], r["sha256"]) for r in left.collect()}
-    b = {(r["file"], r["seq"]): (r["start"], r["size"], r["sha256"]) for r in right.collect()}
-    want = {k for k in set(a) | set(b) if a.get(k) != b.get(k)}
-    assert {(r["file"], r["seq"]) for r in found.collect()} == want and want
-    assert {r["page_id_a"] for r in found.collect() if r["finding"] == "bytes"} == {17, 140}
-    assert compared < 2 * len(rows)
-    missing, _ = warc.audit(left, left.where("page_id is null or page_id <> 30"))
-    assert {r["page_id_a"] for r in missing.collect() if r["finding"] == "missing"} == {30}
-    assert warc.fixity(d.limit(0), d.limit(0)).count() == 0
-
-
-def test_records_are_warc(spark):
-    row = pages(spark, [(3, "http://h/\r\nx", "é")]).select(warc.record_bytes(F.col("page_id"), F.col("url"), F.col("html"))).first()[0]
-    head, _, body = bytes(row).partition(b"\r\n\r\n")
-    assert head.startswith(b"WARC/1.1\r\n") and b"Content-Length: 2" in head and body == "é".encode() + b"\r\n\r\n"
+    assert {(r["id"], r["finding"]) for r in found.collect()} == {("17", "bytes"), ("140", "bytes")} and compared < 2 * len(rows)
+    # one record lost, one twice: the others have only moved
+    other = placed.where("page_id is null or page_id <> 30").unionByName(placed.where("page_id = 8").withColumn("html", F.lit("new")))
+    got = warc.audit(left, _archive(spark, other, "m"))[0].collect()
+    assert sorted((r["id"], r["finding"]) for r in got if r["finding"] != "moved") == [("30", "missing"), ("8", "extra")]
+    assert all(r["id"] not in ("30", "8") or r["finding"] != "moved" or r["id"] == "8" for r in got)
+    assert warc.fixity(d.limit(0)).count() == 0
+
+
+def test_rows_of_one_id_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 20_000)
+    rows = warc.placed(pages(spark, [(1, "u", f"page {k}") for k in range(1000)]))
+    assert rows.groupBy("file").count().agg(F.max("count")).first()[0] < 200
+
+
+def test_records_offsets_and_digests(spark):
+    rows = [(3, "http://h/\r\nx", "é\r\n\r\nWARC/1.1"), (None, None, None), (12, "u", "b" * 100)]
+    (folder,) = [warc.write_files(warc.placed(pages(spark, rows)), "t")]
+    content = b"".join(bytes(r["content"]) for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(folder).collect())
+    want, at = [], 0
+    for name, url, html in (("", "", ""), ("3", "http://h/  x", "é\r\n\r\nWARC/1.1"), ("12", "u", "b" * 100)):
+        body = html.encode()
+        record = f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:{name}>\r\nWARC-Date: 2000-01-01T00:00:00Z\r\nWARC-Target-URI: {url}\r\nContent-Type: text/html\r\nContent-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
+        want.append((name, at, len(record), hashlib.sha256(record).hexdigest()))
+        at += len(record)
+    got = [(r["id"], r["start"], r["size"], r["sha256"]) for r in warc.read_files(spark, folder).orderBy("file", "seq").collect()]
+    assert got == want and len(content) == at  # all in one file
+    assert list(warc.records_in(content + b"junk"))[-1][0] is None and list(warc.records_in(b"")) == []
 
 
 def test_damage_is_found_in_the_query(spark):
     rows = [(k, f"u{k}", f"<p>text {k} {'z' * 50}</p>") for k in range(400)]
-    d = pages(spark, rows)
-    hurt = {r["page_id"] for r in d.join(warc.damaged(d).select("page_id", F.col("html").alias("other")), "page_id").where("html <> other").collect()}
-    got = warc.fixity(d, warc.damaged(d))
-    assert {r["page_id"] for r in got.where("finding = 'bytes'").collect()} == hurt and hurt
+    mark = {k: zlib.crc32(str(k).encode()) for k in range(400)}
+    lost = {k for k, m in mark.items() if m % 103 == 9}
+    hurt = {k for k, m in mark.items() if m % 97 == 5 or m % 101 == 7} - lost
+    added = {k for k, m in mark.items() if m % 107 == 11} - lost
+    got = warc.fixity(pages(spark, rows)).collect()
+    pick = lambda f: {r["page_id"] for r in got if r["finding"] == f}
+    assert (pick("bytes"), pick("missing"), pick("extra")) == (hurt, lost, added) and hurt and lost and added
+    assert len([r for r in got if r["finding"] != "extra"]) == 400
