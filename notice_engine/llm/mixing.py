@@ -9,9 +9,9 @@ crosses the budget is refined with the following bits. No rows are sorted and
 none meet in one task: what leaves a task is a sum for each source and bucket.
 
 Defined cases: null text has size 0; a null source is a source of its own, last
-in order; a null doc_id hashes as the empty string; rows with one doc_id share a
-hash and are taken or left together; the group of rows at the threshold itself is
-taken if that comes nearer to the target; an empty table gives an empty result;
+in order; a null doc_id hashes as the empty string; rows with equal doc_id and equal
+text are copies of one row, share a hash and are taken or left together; the group of
+rows at the threshold itself is taken if that comes nearer to the target; an empty table gives an empty result;
 other columns are ignored. A source whose size is 0 has target 0. The table of
 sources (one row each) is ordered in one task.
 """
@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from notice_engine.llm.names import apart
 from notice_engine.llm.words import WORD
 from notice_engine.session import table, written
 
@@ -30,9 +31,10 @@ HASH_BITS, STEP_BITS = 60, 12
 BROADCAST_SOURCES = 100_000
 
 
-def row_hash(doc_id: Column) -> Column:
-    text = F.coalesce(doc_id.cast("string"), F.lit(""))
-    return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("long")
+def row_hash(doc_id: Column, text: Column) -> Column:
+    """Of id and text, so that rows that share one of them are dealt apart."""
+    whole = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(text, F.lit(""))))
+    return F.conv(F.substring(F.md5(whole), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
 def row_size(text: Column) -> Column:
@@ -68,10 +70,10 @@ def targets(sources: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
     return t.withColumn("wanted", F.col("target") - F.col("repeats") * size).select("source", "source_size", "weight", "target", "repeats", "wanted")
 
 
-def _by_source(rows: DataFrame, small: DataFrame, few: bool, how: str = "inner") -> DataFrame:
-    """Join a per-source table to rows; sources may be null."""
-    small = small.withColumnRenamed("source", "_source")
-    return rows.join(F.broadcast(small) if few else small, rows["source"].eqNullSafe(small["_source"]), how).drop("_source")
+def _by_source(rows: DataFrame, small: DataFrame, few: bool, how: str = "inner", name: str = "_source") -> DataFrame:
+    """Join a per-source table to rows; sources may be null. ``name``: a column that rows do not have."""
+    small = small.withColumnRenamed("source", name)
+    return rows.join(F.broadcast(small) if few else small, rows["source"].eqNullSafe(small[name]), how).drop(name)
 
 
 def thresholds(sized: DataFrame, weights=WEIGHTS, cap: int = CAP) -> tuple[DataFrame, bool]:
@@ -111,7 +113,7 @@ def thresholds(sized: DataFrame, weights=WEIGHTS, cap: int = CAP) -> tuple[DataF
 
 def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies and taken (words the mix takes, repeats counted)."""
-    sized = written(docs.select("doc_id", "source", row_size(F.col("text")).alias("size"), row_hash(F.col("doc_id")).alias("h")), "mix-sizes")
+    sized = written(docs.select("doc_id", "source", row_size(F.col("text")).alias("size"), row_hash(F.col("doc_id"), F.col("text")).alias("h")), "mix-sizes")
     plan, few = thresholds(sized.select("source", "size", "h"), weights, cap)
     copies = F.col("repeats") + (F.col("h") <= F.col("threshold")).cast("long")
     return _by_source(sized, plan, few).select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
@@ -119,13 +121,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, all columns kept."""
-    sized = written(docs.select("source", row_size(F.col("text")).alias("size"), row_hash(F.col("doc_id")).alias("h")), "mix-sizes")
-    plan, few = thresholds(sized, weights, cap)
     names = docs.columns
-    plan = plan.select("source", F.col("repeats").alias("_repeats"), F.col("threshold").alias("_threshold"))
-    copies = F.col("_repeats") + (row_hash(F.col("doc_id")) <= F.col("_threshold")).cast("long")
-    out = _by_source(docs, plan, few).withColumn("_copies", copies).where("_copies > 0")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*names)
+    repeats, threshold, copies, copy, source = apart(names, "repeats", "threshold", "copies", "copy", "_source")
+    sized = written(docs.select("source", row_size(F.col("text")).alias("size"), row_hash(F.col("doc_id"), F.col("text")).alias("h")), "mix-sizes")
+    plan, few = thresholds(sized, weights, cap)
+    plan = plan.select("source", F.col("repeats").alias(repeats), F.col("threshold").alias(threshold))
+    times = F.col(repeats) + (row_hash(F.col("doc_id"), F.col("text")) <= F.col(threshold)).cast("long")
+    out = _by_source(docs, plan, few, name=source).withColumn(copies, times).where(F.col(copies) > 0)
+    return out.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(*names)
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,7 +138,7 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP1_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS h
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 w AS (SELECT *, 1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 AS weight, 3 * source_size AS most FROM s),

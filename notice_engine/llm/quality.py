@@ -14,7 +14,8 @@ are no inputs of a score.
 Defined cases: null text is empty; texts without words have all statistics 0;
 null quality labels and null doc_ids are not learnt from; a doc_id with several
 labels counts once for each; without labels of both classes the score is the
-share of good labels, or 0.5 without any label; repeated rows get equal scores;
+share of good labels, or 0.5 without any label, and also the share where the
+labelled texts are too few or too alike for a rule; repeated rows get equal scores;
 other columns are ignored.
 """
 
@@ -24,6 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from notice_engine.llm.names import apart
 from notice_engine.session import table
 
 #: Labelled rows used for training at most.
@@ -173,6 +175,9 @@ class RuleEnsemble:
             share = float(y.mean()) if len(y) else 0.5
             return cls(float(np.log((share + 1e-9) / (1 - share + 1e-9))), [])
         rules = tree_rules(x, y)
+        if not rules:  # no tree found a split: too few rows, or all alike
+            share = float(y.mean())
+            return cls(float(np.log(share / (1 - share))), [])
         constant, weights = lasso_logistic(np.stack([holds(r, x) for r in rules], 1).astype(float), y)
         return cls(constant, [(r, float(w)) for r, w in zip(rules, weights, strict=True) if w])
 
@@ -197,16 +202,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> RuleEnsemble:
     return RuleEnsemble.fit(*training_rows(docs, labels))
 
 
-def scored(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
-    """All columns of ``docs`` and ``_score``."""
-    stats = statistics(F.col("text"))
-    with_stats = docs.select("*", *[stats[n].alias(f"_stat_{n}") for n in NAMES])
-    return with_stats.withColumn("_score", model.column([f"_stat_{n}" for n in NAMES])).drop(*[f"_stat_{n}" for n in NAMES])
+def scored(docs: DataFrame, model: RuleEnsemble, name: str = "_score") -> DataFrame:
+    """All columns of ``docs`` and the score under a name, which must not be one of theirs."""
+    if name.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"there is a column {name} already")
+    stats, names = statistics(F.col("text")), apart([*docs.columns, name], *NAMES)
+    with_stats = docs.select("*", *[stats[n].alias(own) for n, own in zip(NAMES, names, strict=True)])
+    return with_stats.withColumn(name, model.column(names)).drop(*names)
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject."""
-    return scored(docs, fit(docs, labels)).where(F.col("_score") >= THRESHOLD).drop("_score")
+    (name,) = apart(docs.columns, "score")
+    return scored(docs, fit(docs, labels), name).where(F.col(name) >= THRESHOLD).drop(name)
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

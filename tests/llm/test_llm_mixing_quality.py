@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from notice_engine.llm import mixing, quality
@@ -114,3 +115,34 @@ def test_lasso_drops_noise():
     y = (rng.random(2000) < 1 / (1 + np.exp(-(3 * m[:, 0] - 2)))).astype(float)
     constant, w = quality.lasso_logistic(m, y, 0.02)
     assert w[0] > 1 and np.count_nonzero(w) <= 4 and constant < 0
+
+
+def test_too_few_labels_for_a_rule(spark):
+    d, labels = _corpus(spark, 40)
+    few = labels.where("doc_id in (1, 3, 4)").where("quality is not null")
+    model = quality.fit(d, few)
+    scores = {round(r["_score"], 6) for r in quality.scored(d, model).collect()}
+    assert not model.weighted and len(scores) == 1 and 0 < scores.pop() < 1
+
+
+def test_statistics_computed_a_second_way(spark):
+    import re
+
+    texts = ["", "One two, two.\n\nTHREE 4 four! ü\tÜ", "a" * 50, " \n\n ", "x;y:z " * 9, "\u0660 1 \u00a0b\x0bc"]
+    stats = quality.statistics(F.col("text"))
+    df = docs(spark, [(k, t, "s") for k, t in enumerate(texts)])
+    for r in df.select("text", *[stats[n].alias(n) for n in quality.NAMES]).collect():
+        t = r["text"]
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", t) if w]
+        lines = [x for x in t.split("\n") if x]
+        chars, n = max(len(t), 1), max(len(words), 1)
+        assert r["log_words"] == pytest.approx(np.log1p(len(words))) and r["word_length"] == pytest.approx(sum(map(len, words)) / n)
+        assert r["stops"] == pytest.approx(sum(c in ".,;:" for c in t) / n) and r["distinct_words"] == pytest.approx(len(set(words)) / n)
+        assert r["upper"] == pytest.approx(sum(c.isupper() for c in t) / chars) and r["digits"] == pytest.approx(sum(c.isdecimal() for c in t) / chars)
+        assert r["lines"] == pytest.approx(max(len(lines), 1) / n) and r["distinct_lines"] == pytest.approx(len(set(lines)) / max(len(lines), 1))
+
+
+def test_rows_without_ids_are_dealt_by_text(spark):
+    rows = [(None, f"word {i}", "a") for i in range(300)] + [(i, "x y", "b") for i in range(100)]
+    got = mixing.mix(docs(spark, rows)).groupBy("source").agg(F.sum("taken").alias("t"), F.max("target").alias("w")).collect()
+    assert all(abs(r["t"] - r["w"]) <= 4 for r in got)
