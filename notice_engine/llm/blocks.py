@@ -17,15 +17,20 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from notice_engine.llm.lean import lean_batches
+from notice_engine.llm.words import slices
 from notice_engine.session import ship
 
 #: Bytes of text in a block and behind a key shard. Both are small enough for a Python worker with some hundred MB.
 BLOCK_BYTES, SHARD_BYTES = 12_000_000, 16_000_000
 LEAST_BLOCKS = 24
+#: Bytes of text that a worker sends at once.
+AT_ONCE = 4_000_000
 _U = np.uint64
 
 
@@ -73,22 +78,25 @@ def blocked(docs: DataFrame, values: dict[str, Column], merge: Callable[[list, l
     ship(docs.sparkSession)
     names = list(values)
 
+    @lean_batches
     def run(batches):
         for batch in batches:
-            kept: dict[bytes, tuple[bytes, list]] = {}
-            for raw, *got in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                raw = raw or b""
-                d = hashlib.md5(raw).digest()
-                kept[d] = (raw, merge(kept[d][1], got)) if d in kept else (raw, got)
-            yield pa.RecordBatch.from_arrays(
+            kept: dict[bytes, tuple[int, list]] = {}
+            texts = batch.column(0)
+            for k, (raw, *got) in enumerate(zip(texts, *[c.to_pylist() for c in batch.columns[1:]], strict=True)):
+                d = hashlib.md5(raw.as_py() or b"").digest()
+                kept[d] = (kept[d][0], merge(kept[d][1], got)) if d in kept else (k, got)
+            out = pa.RecordBatch.from_arrays(
                 [
                     pa.array([int.from_bytes(d[:6], "big") % blocks for d in kept], pa.int32()),
                     pa.array(list(kept), pa.binary()),
-                    pa.array([raw for raw, _ in kept.values()], pa.binary()),
+                    pc.fill_null(texts.take(pa.array([k for k, _ in kept.values()])), b""),
                     *[pa.array([got[k] for _, got in kept.values()], pa.int64()) for k in range(len(names))],
                 ],
                 names=["block", "digest", "text", *names],
             )
+            for a, b in slices(out.column(2), AT_ONCE):
+                yield out.slice(a, b - a)
 
     rows = docs.select(F.col("text").cast("binary"), *[c.cast("long").alias(n) for n, c in values.items()])
     out = rows.mapInArrow(run, "block int, digest binary, text binary, " + ", ".join(f"{n} long" for n in names))

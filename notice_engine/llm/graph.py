@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from notice_engine.session import written
 
 
-def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(a, b) longs -> (node, root): root is the smallest id of the node's component.
 
     Alternating large-star and small-star steps: every node links its neighbours to
@@ -18,7 +18,7 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     costs one round at most.
     """
     edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc-edges")
-    for _ in range(most_rounds):
+    while True:  # the number of rounds grows with the square of the logarithm of the nodes at most
         both = edges.union(edges.select("b", "a"))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))

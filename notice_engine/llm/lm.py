@@ -25,12 +25,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notice_engine.llm.blocks import block_texts, blocked, digest_column, pack, pack_sorted, shard_edges, sizes, unpack, unpack_sorted
-from notice_engine.llm.words import hashes, mixed
+from notice_engine.llm.lean import lean_batches, lean_groups
+from notice_engine.llm.words import mixed, words_of
 from notice_engine.session import ship, table, written
 
 FOLDS, HELD_OUT = 7, 2
@@ -51,12 +51,10 @@ def _sum(a: list, b: list) -> list:
 
 def _streams(texts: list[tuple[bytes, bytes, list]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the tokens (lower-cased words, then the end) and of the bigrams of all texts, and the number of tokens of each."""
-    parts, length = [], np.empty(len(texts), np.int64)
-    for k, (_, raw, _) in enumerate(texts):
-        parts += (hashes(raw.lower().split()), END)
-        length[k] = len(parts[-2]) + 1
-    words = np.concatenate([np.empty(0, _U), *[np.atleast_1d(p) for p in parts]])
-    del parts
+    found = words_of([raw for _, raw, _ in texts])
+    length = np.diff(found.first) + 1
+    words = np.insert(found.hashes(lower=True), found.first[1:], END)
+    del found
     pairs = np.empty_like(words)  # first the contexts
     pairs[1:] = words[:-1]
     pairs[np.cumsum(length) - length] = START
@@ -65,19 +63,26 @@ def _streams(texts: list[tuple[bytes, bytes, list]]) -> tuple[np.ndarray, np.nda
     return words, mixed(pairs), length
 
 
+def _summed(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of whole numbers by group, exact beyond 2 ** 53 too."""
+    high, low = values >> 24, values & 0xFFFFFF
+    out = np.bincount(group, low, n).astype(np.int64)
+    return out + (np.bincount(group, high, n).astype(np.int64) << 24) if high.any() else out
+
+
 def _asked(table_: pa.Table, shards: int) -> pa.Table:
     """The words (kind 0) and bigrams (kind 1) of a block and how often they are in training, and deleted, documents."""
     block = table_["block"][0].as_py()
     texts = block_texts(table_, ["train", "deleted"], _sum)
     words, pairs, length = _streams(texts)
-    times = [np.array([v[k] for _, _, v in texts], float) for k in (0, 1)]
+    times = [np.array([v[k] for _, _, v in texts], np.int64) for k in (0, 1)]
     del texts
     out: dict[str, list] = {"kind": [], "shard": [], "block": [], "keys": [], "train": [], "deleted": []}
     streams = [words, pairs]
     del words, pairs
     for kind in (0, 1):
         keys, back = np.unique(streams.pop(0), return_inverse=True)
-        counts = [np.bincount(back, np.repeat(w, length), len(keys)).astype("<u4") for w in times]
+        counts = [_summed(back, np.repeat(w, length), len(keys)) for w in times]
         del back
         edges = shard_edges(keys, shards)
         for s in range(shards):
@@ -99,7 +104,7 @@ def _counted(table_: pa.Table) -> pa.Table:
     cuts = np.cumsum([len(k) for k in keys])[:-1]
     replies, tokens_, types = {}, 0, 0
     for name in ("train", "deleted"):
-        counts = np.concatenate([unpack(b, "<u4") for b in table_[name].to_pylist()]).astype(np.int64)
+        counts = np.concatenate([unpack(b, "<i8") for b in table_[name].to_pylist()])
         total = np.add.reduceat(counts[order], starts)
         if name == "train" and kind == 0:
             tokens_, types = int(total.sum()), int((total > 0).sum())
@@ -115,17 +120,6 @@ def _counted(table_: pa.Table) -> pa.Table:
 COUNTED = "digest binary, n_tokens long, n_deleted long, words binary, pairs binary, words_deleted binary, pairs_deleted binary, tokens long, types long"
 
 
-def _squeezed(x: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T[:5]).tobytes())
-
-
-def _unsqueezed(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(5, -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, :5] = planes.T
-    return out.view("<u8").reshape(-1).astype(np.int64)
-
-
 def _with_counts(table_: pa.Table, replies: pa.Table, shards: int) -> pa.Table:
     """For each text of a block the counts of its tokens and bigrams; for those with deleted rows also the deleted counts. A row without digest sums up the shards."""
     out: dict[str, list] = {n.split()[0]: [] for n in COUNTED.split(", ")}
@@ -147,7 +141,7 @@ def _with_counts(table_: pa.Table, replies: pa.Table, shards: int) -> pa.Table:
             counts.append({n: v[back] for n, v in small.items()})
         stop = np.cumsum(length)
         for (digest, _, (_, deleted)), a, b in zip(texts, (stop - length).tolist(), stop.tolist(), strict=True):
-            cut = lambda kind, n: _squeezed(counts[kind][n][a:b])  # noqa: B023, E731
+            cut = lambda kind, n: pack(counts[kind][n][a:b].astype("<i8"))  # noqa: B023, E731
             row = (digest, b - a, deleted, cut(0, "train"), cut(1, "train"), cut(0, "deleted") if deleted else None, cut(1, "deleted") if deleted else None, 0, 0)
             for name, v in zip(out, row, strict=True):
                 out[name].append(v)
@@ -200,9 +194,9 @@ class Model:
         train = remainder(F.col("doc_id")) != HELD_OUT
         fold = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(DELETED)) == 0
         rows = blocked(docs, {"train": train.cast("long"), "deleted": (train & fold).cast("long")}, _sum, n_blocks)
-        asked = rows.groupBy("block").applyInArrow(lambda t: _asked(t, n_shards), "kind int, shard int, block int, keys binary, train binary, deleted binary")
-        counted = asked.groupBy("kind", "shard").applyInArrow(_counted, "block int, kind int, shard int, train binary, deleted binary, tokens long, types long")
-        known = rows.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(lambda a, b: _with_counts(a, b, n_shards), COUNTED)
+        asked = rows.groupBy("block").applyInArrow(lean_groups(lambda t: _asked(t, n_shards)), "kind int, shard int, block int, keys binary, train binary, deleted binary")
+        counted = asked.groupBy("kind", "shard").applyInArrow(lean_groups(_counted), "block int, kind int, shard int, train binary, deleted binary, tokens long, types long")
+        known = rows.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(lean_groups(lambda a, b: _with_counts(a, b, n_shards)), COUNTED)
         self.texts = written(known, "lm-counts")
         ends = docs.agg(F.count_if(train), F.count_if(train & fold)).first()
         sums = self.texts.agg(F.sum("tokens"), F.sum("types")).first()
@@ -214,11 +208,12 @@ class Model:
         gone = self.texts.where("n_deleted > 0").agg(F.sum(F.col("n_tokens") * F.col("n_deleted"))).first()[0] or 0
         n, starts, unknown = self.tokens - int(gone), self.starts - self.starts_deleted, 1 / (self.types + 1)
 
+        @lean_batches
         def run(batches):
             for batch in batches:
                 sums: dict[int, int] = {}
                 for copies, *blobs in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                    words, pairs, words_gone, pairs_gone = map(_unsqueezed, blobs)
+                    words, pairs, words_gone, pairs_gone = (unpack(b, "<i8") for b in blobs)
                     words, pairs = words - words_gone, pairs - pairs_gone
                     context = contexts(words, starts)
                     p2, p1 = frequencies(words, pairs, context, n)
@@ -238,11 +233,12 @@ class Model:
         """digest, n_tokens, n_known, base_score and score of each different text."""
         weights, n, v, starts = self.weights, self.tokens, self.types, self.starts
 
+        @lean_batches
         def run(batches):
             for batch in batches:
                 out: dict[str, list] = {"n_known": [], "base_score": [], "score": []}
                 for w, p in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                    words, pairs = _unsqueezed(w), _unsqueezed(p)
+                    words, pairs = unpack(w, "<i8"), unpack(p, "<i8")
                     context = contexts(words, starts)
                     p2, p1 = frequencies(words, pairs, context, n)
                     mix = weights[bucket(context)]

@@ -49,7 +49,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from notice_engine.llm.graph import components
-from notice_engine.llm.words import WORD, grams, hashes, mixed
+from notice_engine.llm.lean import lean_batches, lean_groups
+from notice_engine.llm.names import apart
+from notice_engine.llm.words import WORD, buffer_of, grams, mixed, slices, words_of
 from notice_engine.session import ship, table, written
 
 SHINGLE, SIMILAR = 5, 0.8
@@ -61,12 +63,23 @@ BLOCK, TILE = 2048, 128
 ESTIMATE = 0.64
 #: Ids of texts to verify, or of documents to leave out, that are broadcast at most (8 bytes each); beyond, joins shuffle.
 BROADCAST_IDS = 2_000_000
+#: Pairs that take a text from one place; a text of more pairs is dealt to several.
+HOT_PAIRS = 64
+#: Bytes of text whose shingles are in memory at once.
+AT_ONCE = 2_000_000
 _U = np.uint64
 
 
+def shingle_sets(texts: pa.Array | list[bytes]) -> list[np.ndarray]:
+    """Hashes of the shingles of each text, in order and with repeats."""
+    words = words_of(texts)
+    h, first = words.hashes(), words.first.tolist()
+    g = grams(h, SHINGLE)
+    return [g[a : b - SHINGLE + 1] if b - a >= SHINGLE else grams(h[a:b], b - a) if b > a else h[:0] for a, b in zip(first, first[1:], strict=False)]
+
+
 def shingles(raw: bytes | None) -> np.ndarray:
-    words = (raw or b"").split()
-    return grams(hashes(words), min(SHINGLE, len(words))) if words else np.empty(0, _U)
+    return shingle_sets([raw or b""])[0]
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -140,7 +153,7 @@ def text_id(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
-def _text_id(raw: bytes) -> int:
+def _text_id(raw) -> int:
     return int(hashlib.md5(raw).hexdigest()[:15], 16)
 
 
@@ -150,35 +163,41 @@ def signed_texts(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     arrow_kind = to_arrow_type(kind)
 
+    @lean_batches
     def run(batches):
         for batch in batches:
+            docs_, texts = batch.column(0).to_pylist(), batch.column(1)
+            data, offsets = buffer_of(texts)
             firsts: dict[int, object] = {}
-            raws: dict[int, bytes] = {}
-            for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                tid = _text_id(raw)
-                if tid not in raws:
-                    raws[tid], firsts[tid] = raw, doc
+            rows: dict[int, int] = {}
+            for k, doc in enumerate(docs_):
+                tid = _text_id(data[offsets[k] : offsets[k + 1]])
+                if tid not in rows:
+                    rows[tid], firsts[tid] = k, doc
                 elif doc is not None and (firsts[tid] is None or doc < firsts[tid]):
                     firsts[tid] = doc
-            part, size = [], 0
-            todo = list(raws.items())
-            for k, (tid, raw) in enumerate(todo):
-                part.append((tid, shingles(raw)))
-                size += len(part[-1][1])
-                if size > 400_000 or k == len(todo) - 1:
-                    sig = signatures([s for _, s in part])
-                    keys = band_keys(sig).view(np.int64)
-                    short = (mixed(sig) >> _U(48)).astype("<u2")
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([t for t, _ in part], pa.int64()),
-                            pa.array([firsts[t] for t, _ in part], arrow_kind),
-                            pa.array(list(keys), pa.list_(pa.int64())),
-                            pa.array([s.tobytes() for s in short], pa.binary()),
-                        ],
-                        names=["tid", "first", "bands", "short"],
-                    )
-                    part, size = [], 0
+            kept, size = [], 0
+            for tid, k in rows.items():
+                kept.append(tid)
+                size += offsets[k + 1] - offsets[k]
+                if size > AT_ONCE:
+                    yield signed(texts, rows, firsts, kept)
+                    kept, size = [], 0
+            if kept:
+                yield signed(texts, rows, firsts, kept)
+
+    def signed(texts, rows, firsts, kept) -> pa.RecordBatch:
+        sig = signatures(shingle_sets(texts.take(pa.array([rows[t] for t in kept]))))
+        short = (mixed(sig) >> _U(48)).astype("<u2")
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(kept, pa.int64()),
+                pa.array([firsts[t] for t in kept], arrow_kind),
+                pa.ListArray.from_arrays(pa.array(np.arange(0, len(kept) * BANDS + 1, BANDS), pa.int32()), pa.array(band_keys(sig).view(np.int64).reshape(-1))),
+                pa.array([s.tobytes() for s in short], pa.binary()),
+            ],
+            names=["tid", "first", "bands", "short"],
+        )
 
     with_words = docs.where(F.col("text").rlike(WORD)).select("doc_id", F.col("text").cast("binary"))
     rows = with_words.mapInArrow(run, f"tid long, first {kind.simpleString()}, bands array<long>, short binary")
@@ -203,9 +222,10 @@ def candidate_pairs(texts: DataFrame, met: DataFrame) -> DataFrame:
     short = lambda name: texts.select(F.col("tid").alias(name), F.col("short").alias(f"short_{name}"))
     ship(texts.sparkSession)
 
+    @lean_batches
     def estimate(batches):
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, PARTS) for k in (2, 3))
+            x, y = (buffer_of(batch.column(k))[0].view("<u2").reshape(-1, PARTS) for k in (2, 3))
             alike = (x == y).mean(axis=1)
             keep = pa.array(alike >= ESTIMATE)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(alike)], names=["a", "b", "alike"]).filter(keep)
@@ -235,6 +255,7 @@ def pairs_between(texts: DataFrame, met: DataFrame, roots: DataFrame) -> DataFra
     rows = rows.select("key", F.least("block", "partner").alias("i"), F.greatest("block", "partner").alias("j"), "tid", "root", "block", "bands", "short")
     ship(texts.sparkSession)
 
+    @lean_groups
     def compare(group: pa.Table) -> pa.Table:
         key, i, j = (group.column(k)[0].as_py() for k in range(3))
         tid, root, block = (group.column(k).to_numpy() for k in (3, 4, 5))
@@ -269,10 +290,11 @@ def verified_in_tiles(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     texts = texts.groupBy("tid").agg(F.any_value("text").cast("binary").alias("text"))
     ship(docs.sparkSession)
 
+    @lean_groups
     def run(group: pa.Table, members: pa.Table) -> pa.Table:
         a, b = (group.column(k).to_numpy() for k in ("a", "b"))
         tid = members.column("tid").to_numpy()
-        sets = [np.unique(shingles(raw), return_counts=True) for raw in members.column("text").to_pylist()]
+        sets = [np.unique(s, return_counts=True) for s in shingle_sets(members.column("text").combine_chunks())]
         at = {t: k for k, t in enumerate(tid.tolist())}
         _, word = np.unique(np.concatenate([v for v, _ in sets]), return_inverse=True)
         count = np.concatenate([c for _, c in sets])
@@ -296,26 +318,37 @@ def verified_in_tiles(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those pairs whose texts are at least 0.8 alike."""
-    ids = written(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "tid"), "bmh-ids")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    texts = docs.select(text_id(F.col("text")).alias("tid"), "text").join(ids, "tid", "left_semi").groupBy("tid").agg(F.any_value("text").alias("text"))
+    """Those pairs whose texts are at least 0.8 alike.
+
+    A text that is in many pairs is sent to several places, each for some of its pairs.
+    """
+    ends = pairs.select("a").union(pairs.select("b")).withColumnRenamed("a", "tid")
+    ids = written(ends.groupBy("tid").agg(F.ceil(F.count("*") / F.lit(HOT_PAIRS)).alias("places")), "bmh-ids")
+    hot = ids.where("places > 1")
+    small = lambda t: F.broadcast(t) if t.count() <= BROADCAST_IDS else t
+    texts = docs.select(text_id(F.col("text")).alias("tid"), "text").join(small(ids.select("tid")), "tid", "left_semi").groupBy("tid").agg(F.any_value("text").cast("binary").alias("text"))
+    texts = texts.join(small(hot), "tid", "left").select("tid", "text", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("places", F.lit(1)) - 1)).alias("place"))
+    dealt = pairs.select("a", "b")
+    for one, other in (("a", "b"), ("b", "a")):
+        dealt = dealt.join(small(hot.select(F.col("tid").alias(one), F.col("places").alias(f"places_{one}"))), one, "left")
+        dealt = dealt.withColumn(f"place_{one}", F.when(F.col(f"places_{one}").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(other), f"places_{one}")).cast("long"))
     ship(docs.sparkSession)
 
+    @lean_batches
     def run(batches):
         for batch in batches:
-            known: dict[int, tuple] = {}
-            keep = []
-            for a, b, x, y in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                for t, raw in ((a, x), (b, y)):
-                    if t not in known:
-                        known[t] = np.unique(shingles(raw), return_counts=True)
-                keep.append(weighted_jaccard(known[a], known[b]) >= SIMILAR)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for start, stop in slices(batch.column(2), AT_ONCE):
+                part = batch.slice(start, stop - start)
+                a, b = part.column(0).to_pylist(), part.column(1).to_pylist()
+                at = {t: (2, k) for k, t in enumerate(a)} | {t: (3, k) for k, t in enumerate(b)}
+                found = [np.unique(s, return_counts=True) for c in (2, 3) for s in shingle_sets(part.column(c).take(pa.array([k for d, k in at.values() if d == c], pa.int64())))]
+                known = dict(zip(sorted(at, key=lambda t: at[t][0]), found, strict=True))
+                keep = [weighted_jaccard(known[x], known[y]) >= SIMILAR for x, y in zip(a, b, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    side = lambda name: texts.select(F.col("tid").alias(name), F.col("text").cast("binary").alias(f"text_{name}"))
-    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    side = lambda name: texts.select(F.col("tid").alias(name), F.col("place").alias(f"place_{name}"), F.col("text").alias(f"text_{name}"))
+    dealt = dealt.join(side("a"), ["a", "place_a"]).join(side("b"), ["b", "place_b"])
+    return dealt.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
 def best_two(pairs: DataFrame) -> DataFrame:
@@ -378,17 +411,18 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.when(F.col("text").rlike(WORD), text_id(F.col("text"))).alias("tid")).where("tid is not null")
     rows = rows.groupBy("doc_id", "tid").agg(F.count("*").alias("n")).join(found, "tid")
     stays = (F.col("tid") == F.col("keeper")) & F.col("doc_id").eqNullSafe(F.col("class_id"))
-    out = written(rows.select(F.col("doc_id").alias("_doc"), F.col("tid").alias("_tid"), stays.alias("_stays"), "n").where("not _stays or n > 1"), "bmh-out")
-    gone, twice = out.where("not _stays"), out.where("_stays")
+    own, tid, doc = apart(docs.columns, "own", "tid", "doc")
+    out = written(rows.select(F.col("doc_id").alias(doc), F.col("tid").alias(tid), stays.alias("stays"), "n").where("not stays or n > 1"), "bmh-out")
+    gone, twice = out.where("not stays").select(doc, tid), out.where("stays").select(doc, tid)
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    tagged = docs.withColumn("_text", F.when(F.col("text").rlike(WORD), text_id(F.col("text"))))
-    kept = tagged.join(gone, (F.col("_text") == F.col("_tid")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left_anti")
+    tagged = docs.withColumn(own, F.when(F.col("text").rlike(WORD), text_id(F.col("text"))))
+    same = (F.col(own) == F.col(tid)) & F.col("doc_id").eqNullSafe(F.col(doc))
+    kept = tagged.join(gone, same, "left_anti")
     if not twice.isEmpty():  # rows that repeat a kept one
-        again = tagged.join(twice, (F.col("_text") == F.col("_tid")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
-        again = again.dropDuplicates(["doc_id", "_text"])
-        kept = kept.join(twice, (F.col("_text") == F.col("_tid")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left_anti").unionByName(again)
-    return kept.drop("_text")
+        again = tagged.join(twice, same, "left_semi").dropDuplicates(["doc_id", own])
+        kept = kept.join(twice, same, "left_anti").unionByName(again)
+    return kept.drop(own)
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

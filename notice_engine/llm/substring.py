@@ -38,7 +38,9 @@ from pyspark.sql import functions as F
 
 from notice_engine.llm.blocks import block_texts, blocked, digest_column, pack, pack_sorted, shard_edges, sizes, unpack, unpack_sorted
 from notice_engine.llm.fmindex import FMIndex
-from notice_engine.llm.words import grams, hashes, mixed
+from notice_engine.llm.lean import lean_groups
+from notice_engine.llm.names import apart
+from notice_engine.llm.words import grams, mixed, words_of
 from notice_engine.session import ship, table
 
 WINDOW, MINIMIZER = 13, 6
@@ -67,10 +69,16 @@ def minimizers(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, mixed(least)
 
 
+def _word_hashes(texts: list[tuple[bytes, bytes, list]]) -> list[np.ndarray]:
+    words = words_of([raw for _, raw, _ in texts])
+    return np.split(words.hashes(), words.first[1:-1])
+
+
 def _asked(table_: pa.Table, shards: int) -> pa.Table:
     """The minimizers of a block, and whether two of its texts have them."""
     block = table_["block"][0].as_py()
-    each = [np.unique(minimizers(hashes(raw.split()))[1]) for _, raw, first in block_texts(table_, ["first"], _earliest) if first[0] != NONE]
+    texts = [t for t in block_texts(table_, ["first"], _earliest) if t[2][0] != NONE]
+    each = [np.unique(minimizers(h)[1]) for h in _word_hashes(texts)] if texts else []
     keys, counts = np.unique(np.concatenate(each), return_counts=True) if each else (np.empty(0, _U), np.empty(0, int))
     edges = shard_edges(keys, shards)
     parts = [s for s in range(shards) if edges[s + 1] > edges[s]]
@@ -104,7 +112,8 @@ def _stretches(table_: pa.Table, replies: pa.Table, shards: int) -> pa.Table:
     out: dict[str, list] = {"shard": [], "block": [], "words": [], "lengths": [], "first": [], "which": [], "row": [], "start": []}
     if table_.num_rows and replies.num_rows:
         block = table_["block"][0].as_py()
-        texts = [(k, first[0], hashes(raw.split())) for k, (_, raw, first) in enumerate(block_texts(table_, ["first"], _earliest)) if first[0] != NONE]
+        every = block_texts(table_, ["first"], _earliest)
+        texts = [(k, first[0], h) for k, ((_, _, first), h) in enumerate(zip(every, _word_hashes(every), strict=True)) if first[0] != NONE]
         found = [minimizers(h) for _, _, h in texts]
         keys = np.unique(np.concatenate([f[1] for f in found])) if found else np.empty(0, _U)
         edges = shard_edges(keys, shards)
@@ -253,39 +262,36 @@ def judged_texts(docs: DataFrame, with_text: bool) -> DataFrame:
     ship(docs.sparkSession)
     n_blocks, n_shards = sizes(docs)
     rows = blocked(docs, {"first": F.coalesce(F.col("doc_id").cast("long"), F.lit(NONE))}, _earliest, n_blocks)
-    asked = rows.groupBy("block").applyInArrow(lambda t: _asked(t, n_shards), "shard int, block int, keys binary, twice binary")
-    shared = asked.groupBy("shard").applyInArrow(_shared, "block int, shard int, bits binary")
-    stretches = rows.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(lambda a, b: _stretches(a, b, n_shards), "shard int, block int, words binary, lengths binary, first binary, which binary, row binary, start binary")
-    answers = stretches.groupBy("shard").applyInArrow(_earlier, "block int, lengths binary, which binary, row binary, start binary, answer binary")
-    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda a, b: _kept(a, b, with_text), RESULT)
-
-
-def _judged(docs: DataFrame, with_text: bool) -> DataFrame:
-    """Rows of ``docs`` (with _digest) beside the judgement of their text; ``copy``: an earlier document has the same text."""
-    found = judged_texts(docs.select("doc_id", "text"), with_text).withColumnRenamed("digest", "_digest")
-    rows = docs.withColumn("_digest", digest_column(F.col("text"))).join(found, "_digest")
-    return rows.withColumn("_copy", F.col("doc_id").isNotNull() & (F.col("doc_id") > F.col("first")) & (F.col("n_words") >= WINDOW)).withColumn("_own", F.col("doc_id").isNotNull())
+    asked = rows.groupBy("block").applyInArrow(lean_groups(lambda t: _asked(t, n_shards)), "shard int, block int, keys binary, twice binary")
+    shared = asked.groupBy("shard").applyInArrow(lean_groups(_shared), "block int, shard int, bits binary")
+    stretches = rows.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(lean_groups(lambda a, b: _stretches(a, b, n_shards)), "shard int, block int, words binary, lengths binary, first binary, which binary, row binary, start binary")
+    answers = stretches.groupBy("shard").applyInArrow(lean_groups(_earlier), "block int, lengths binary, which binary, row binary, start binary, answer binary")
+    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lean_groups(lambda a, b: _kept(a, b, with_text)), RESULT)
 
 
 def repeated(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 for every row."""
-    rows = _judged(docs.select("doc_id", "text"), False)
-    removed = F.when(F.col("_copy"), F.col("n_words")).when(F.col("_own"), F.col("n_removed")).otherwise(0)
-    sha = F.when(F.col("_copy"), F.lit(hashlib.sha256(b"").hexdigest())).when(F.col("_own"), F.col("kept_sha256")).otherwise(F.col("whole_sha256"))
+    found = judged_texts(docs.select("doc_id", "text"), False)
+    rows = docs.select("doc_id", digest_column(F.col("text")).alias("digest")).join(found, "digest")
+    own = F.col("doc_id").isNotNull()
+    copy = own & (F.col("doc_id") > F.col("first")) & (F.col("n_words") >= WINDOW)  # an earlier document has the same text
+    removed = F.when(copy, F.col("n_words")).when(own, F.col("n_removed")).otherwise(0)
+    sha = F.when(copy, F.lit(hashlib.sha256(b"").hexdigest())).when(own, F.col("kept_sha256")).otherwise(F.col("whole_sha256"))
     return rows.select("doc_id", "n_words", removed.cast("long").alias("n_removed"), sha.alias("kept_sha256"))
 
 
 def without_repeated_substrings(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated words cut out of text; texts that lose nothing stay as they are. n_chars follows the text."""
     names = docs.columns
+    digest, first, words, kept, new = apart(names, "digest", "first", "words", "kept", "new")
     found = judged_texts(docs.select("doc_id", "text"), True)
-    found = found.select(F.col("digest").alias("_digest"), F.col("first").alias("_first"), F.col("n_words").alias("_words"), F.when(F.col("n_removed") > 0, F.col("kept").cast("string")).alias("_kept"))
-    rows = docs.withColumn("_digest", digest_column(F.col("text"))).join(found, "_digest")
+    found = found.select(F.col("digest").alias(digest), F.col("first").alias(first), F.col("n_words").alias(words), F.when(F.col("n_removed") > 0, F.col("kept").cast("string")).alias(kept))
+    rows = docs.withColumn(digest, digest_column(F.col("text"))).join(found, digest)
     own = F.col("doc_id").isNotNull()
-    copy = own & (F.col("doc_id") > F.col("_first")) & (F.col("_words") >= WINDOW)
-    text = F.when(copy, F.lit("")).when(own & F.col("_kept").isNotNull(), F.col("_kept")).otherwise(F.col("text"))
-    rows = rows.withColumn("_new", text)
-    return rows.select(*[F.col("_new").alias("text") if n == "text" else F.length("_new").cast(docs.schema[n].dataType).alias(n) if n == "n_chars" else F.col(n) for n in names])
+    copy = own & (F.col("doc_id") > F.col(first)) & (F.col(words) >= WINDOW)
+    text = F.when(copy, F.lit("")).when(own & F.col(kept).isNotNull(), F.col(kept)).otherwise(F.col("text"))
+    rows = rows.withColumn(new, text)
+    return rows.select(*[F.col(new).alias(n) if n == "text" else F.length(new).cast(docs.schema[n].dataType).alias(n) if n == "n_chars" else F.col(n) for n in names])
 
 
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
