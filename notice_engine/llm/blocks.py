@@ -56,10 +56,14 @@ def unpack_sorted(blob: bytes) -> np.ndarray:
     return np.cumsum(unpack(blob, _U), dtype=_U)
 
 
+def shard_starts(shards: int) -> np.ndarray:
+    """The first key of each shard but the first: shard s has the s-th part of the range of keys."""
+    return np.array([(s << 64) // shards for s in range(1, shards)], _U)
+
+
 def shard_edges(keys: np.ndarray, shards: int) -> np.ndarray:
-    """Where the sorted keys are cut so that shard s has those with the s-th part of the range."""
-    starts = np.array([(s << 64) // shards for s in range(1, shards)], _U)
-    return np.concatenate([[0], np.searchsorted(keys, starts), [len(keys)]]).astype(np.int64)
+    """Where the sorted keys are cut into shards."""
+    return np.concatenate([[0], np.searchsorted(keys, shard_starts(shards)), [len(keys)]]).astype(np.int64)
 
 
 def sizes(docs: DataFrame) -> tuple[int, int]:

@@ -1,12 +1,17 @@
-"""An FM-index over words, for patterns of bounded length.
+"""An FM-index over words, and matching statistics of streamed words up to a bounded length.
 
 The text is a sequence of words with separators between pieces. Its places are
 sorted by the next ``depth`` words; the word before each place, in that order, is
 kept in a wavelet matrix: one bit vector per bit of a word's number, packed into
-64-bit words with a running count for each. Backward search extends patterns to the
-left, one word per step, for many patterns at once. Ordering by ``depth`` words is
-enough for patterns of up to ``depth`` words, since a step only needs the rows of
-the interval to lie together and those before it to be smaller.
+64-bit words with a running count for each. The places themselves are not kept, only
+which piece each row is from.
+
+A stream is read from its end. The index keeps the interval of rows that start with
+the longest match at the current place. A word to the left extends it by one step of
+backward search; if no row goes on with that word, the match is shortened at its right
+end to the next length at which more rows agree, and tried again. Matches are not
+followed beyond ``depth`` words, so ordering by ``depth`` words is enough: a step only
+needs the rows of the interval to lie together and those before it to be smaller.
 """
 
 from __future__ import annotations
@@ -58,9 +63,9 @@ class WaveletMatrix:
 
 
 class FMIndex:
-    """Over ``text``, numbers from 0 (the separator) to ``most``. It starts with a separator, whose row stands for the end."""
+    """Over ``text``, numbers from 0 (the separator) to ``most``. It starts with a separator, whose row stands for the end. ``piece``: a number for each place."""
 
-    def __init__(self, text: np.ndarray, most: int, depth: int):
+    def __init__(self, text: np.ndarray, most: int, depth: int, piece: np.ndarray):
         n = len(text)
         if n and text[0]:
             raise ValueError("the text does not start with a separator")
@@ -78,16 +83,62 @@ class FMIndex:
             behind[: n - span] = ranks[span:] + 1
             order = ranks * (n + 1) + behind
             span *= 2
-        self.places = index
+        self.depth, self.rows = depth, n
+        self.piece = piece[index].astype(np.int32)
         self.first = np.searchsorted(text[index], np.arange(most + 2))
         self.bwt = WaveletMatrix(text[index - 1] if n else text, most)
+        #: words that each row shares with the row before, up to ``depth``, not across separators
+        self.common = np.zeros(n + 1, np.int8)
+        alike = np.arange(1, n)
+        for j in range(depth):
+            a, b = index[alike] + j, index[alike - 1] + j
+            alike, a, b = (x[(a < n) & (b < n)] for x in (alike, a, b))
+            alike = alike[(text[a] == text[b]) & (text[a] != 0)]
+            self.common[alike] += 1
+        #: for each length: where rows that share so many words begin
+        self.groups = [np.flatnonzero(self.common < d).astype(np.int32) for d in range(depth + 1)]
 
-    def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Intervals of rows that start with each pattern (one per row, without separators)."""
-        last = patterns[:, -1]
-        low, high = self.first[last].astype(np.int64), self.first[last + 1].astype(np.int64)
-        for j in range(patterns.shape[1] - 2, -1, -1):
-            word = patterns[:, j]
-            before, upto = self.bwt.ranks(word, low, high)
-            low, high = self.first[word] + before, self.first[word] + upto
+    def _widened(self, low: np.ndarray, high: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The intervals of all rows that share the first ``length`` words with the given ones."""
+        low, high = low.copy(), high.copy()
+        for d in np.unique(length).tolist():
+            own = np.flatnonzero(length == d)
+            if d == 0:
+                low[own], high[own] = 0, self.rows
+            else:
+                low[own] = self.groups[d][np.searchsorted(self.groups[d], low[own], "right") - 1]
+                high[own] = self.groups[d][np.searchsorted(self.groups[d], high[own], "left")]
         return low, high
+
+    def matching_statistics(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each place of the streams words[starts[k]:ends[k]]: the length of the longest match there, up to ``depth``, and the interval of its rows.
+
+        Words are numbers of the index; -1 is a word that it does not hold. All streams go on together, a step at a time.
+        """
+        size = np.zeros(len(words), np.int8)
+        lows, highs = np.zeros(len(words), np.int32), np.zeros(len(words), np.int32)
+        low, high, length = np.zeros(len(starts), np.int64), np.full(len(starts), self.rows), np.zeros(len(starts), np.int64)
+        at = ends - 1
+        live = np.flatnonzero(at >= starts)
+        while len(live):
+            word = words[at[live]]
+            known = np.maximum(word, 0)
+            before, upto = self.bwt.ranks(known, low[live], high[live])
+            met = (upto > before) & (word >= 0)
+            go = live[met]
+            low[go], high[go] = self.first[known[met]] + before[met], self.first[known[met]] + upto[met]
+            length[go] += 1
+            over = go[length[go] > self.depth]
+            length[over] = self.depth
+            low[over], high[over] = self._widened(low[over], high[over], length[over])
+            stuck = live[~met]
+            none = stuck[length[stuck] == 0]
+            for k in (go, none):  # none: no row starts with this word
+                size[at[k]], lows[at[k]], highs[at[k]] = length[k], low[k], high[k]
+                at[k] -= 1
+            short = stuck[length[stuck] > 0]
+            short = short[at[short] >= starts[short]]
+            length[short] = np.maximum(self.common[low[short]], self.common[high[short]])
+            low[short], high[short] = self._widened(low[short], high[short], length[short])
+            live = live[at[live] >= starts[live]]
+        return size, lows, highs

@@ -10,9 +10,12 @@ on the input.
 2. Windows that remain are routed by minimizer: each stretch of windows with the
    same minimizer goes, with its words, to the shard of that minimizer, so equal
    windows meet whatever document they are from. Equal stretches of a block go once.
-3. A shard builds an FM-index of its stretches and streams them over it: backward
-   search gives each window's interval of occurrences, and the smallest doc_id among
-   them is the answer. Intervals of at least ``WINDOW`` words are what is reported.
+   Windows of a minimizer that very many texts share (a stock phrase) are routed one
+   by one by a hash of the whole window, so they spread over all shards.
+3. A shard builds an FM-index of its different stretches and streams them over it:
+   backward search over the wavelet matrix extends the match word by word, shortens it
+   where no stretch goes on, and gives the matching statistics of each place. Where
+   they reach ``WINDOW`` words, the smallest doc_id in the interval is the answer.
 4. Back in its block, a document marks the words of windows that start earlier.
 
 Index and search cover repeated text only and grow with it, not with the number of
@@ -36,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notice_engine.llm.blocks import block_texts, blocked, digest_column, pack, pack_sorted, shard_edges, sizes, unpack, unpack_sorted
+from notice_engine.llm.blocks import block_texts, blocked, digest_column, pack, pack_sorted, shard_edges, shard_starts, sizes, unpack, unpack_sorted
 from notice_engine.llm.fmindex import FMIndex
 from notice_engine.llm.lean import lean_groups
 from notice_engine.llm.names import apart
@@ -44,6 +47,8 @@ from notice_engine.llm.words import grams, mixed, words_of
 from notice_engine.session import ship, table
 
 WINDOW, MINIMIZER = 13, 6
+#: A minimizer of more texts than this is too many for one shard.
+HOT_TEXTS = 4_096
 NONE = 2**63 - 1
 _U = np.uint64
 
@@ -75,7 +80,7 @@ def _word_hashes(texts: list[tuple[bytes, bytes, list]]) -> list[np.ndarray]:
 
 
 def _asked(table_: pa.Table, shards: int) -> pa.Table:
-    """The minimizers of a block, and whether two of its texts have them."""
+    """The minimizers of a block, and how many of its texts have them."""
     block = table_["block"][0].as_py()
     texts = [t for t in block_texts(table_, ["first"], _earliest) if t[2][0] != NONE]
     each = [np.unique(minimizers(h)[1]) for h in _word_hashes(texts)] if texts else []
@@ -88,23 +93,23 @@ def _asked(table_: pa.Table, shards: int) -> pa.Table:
             "shard": pa.array(parts, pa.int32()),
             "block": pa.array([block] * len(parts), pa.int32()),
             "keys": pa.array([pack_sorted(cut(keys, s)) for s in parts], pa.binary()),
-            "twice": pa.array([np.packbits(cut(counts, s) > 1).tobytes() for s in parts], pa.binary()),
+            "texts": pa.array([pack(cut(counts, s).astype("<u4")) for s in parts], pa.binary()),
         }
     )
 
 
 def _shared(table_: pa.Table) -> pa.Table:
-    """For each block that asked: which of its minimizers another text has too."""
+    """For each block that asked: which of its minimizers another text has too, and which very many have."""
     keys = [unpack_sorted(b) for b in table_["keys"].to_pylist()]
-    times = [1 + np.unpackbits(np.frombuffer(b, np.uint8), count=len(k)).astype(np.int64) for b, k in zip(table_["twice"].to_pylist(), keys, strict=True)]
+    times = [unpack(b, "<u4").astype(np.int64) for b in table_["texts"].to_pylist()]
     every = np.concatenate(keys)
     order = np.argsort(every, kind="stable")
     starts = np.flatnonzero(np.concatenate([[True], every[order][1:] != every[order][:-1]]))
-    total = np.add.reduceat(np.concatenate(times)[order], starts)
-    many = np.empty(len(every), bool)
-    many[order] = np.repeat(total > 1, np.diff(np.append(starts, len(every))))
-    cuts = np.split(many, np.cumsum([len(k) for k in keys])[:-1])
-    return pa.table({"block": table_["block"], "shard": table_["shard"], "bits": pa.array([np.packbits(c).tobytes() for c in cuts], pa.binary())})
+    total = np.empty(len(every), np.int64)
+    total[order] = np.repeat(np.add.reduceat(np.concatenate(times)[order], starts), np.diff(np.append(starts, len(every))))
+    cuts = np.split(total, np.cumsum([len(k) for k in keys])[:-1])
+    bits = lambda least: pa.array([np.packbits(c > least).tobytes() for c in cuts], pa.binary())
+    return pa.table({"block": table_["block"], "shard": table_["shard"], "bits": bits(1), "hot": bits(HOT_TEXTS)})
 
 
 def _stretches(table_: pa.Table, replies: pa.Table, shards: int) -> pa.Table:
@@ -117,9 +122,11 @@ def _stretches(table_: pa.Table, replies: pa.Table, shards: int) -> pa.Table:
         found = [minimizers(h) for _, _, h in texts]
         keys = np.unique(np.concatenate([f[1] for f in found])) if found else np.empty(0, _U)
         edges = shard_edges(keys, shards)
-        shared = np.zeros(len(keys), bool)
-        for s, bits in zip(replies["shard"].to_pylist(), replies["bits"].to_pylist(), strict=True):
-            shared[edges[s] : edges[s + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=edges[s + 1] - edges[s])
+        shared, hot = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+        for s, *packed in zip(replies["shard"].to_pylist(), replies["bits"].to_pylist(), replies["hot"].to_pylist(), strict=True):
+            for bits, raw in zip((shared, hot), packed, strict=True):
+                bits[edges[s] : edges[s + 1]] = np.unpackbits(np.frombuffer(raw, np.uint8), count=edges[s + 1] - edges[s])
+        first_keys = shard_starts(shards)
         by_shard: dict[int, dict] = {}
         for (row, first, h), (at, key) in zip(texts, found, strict=True):
             if not len(at):
@@ -128,9 +135,14 @@ def _stretches(table_: pa.Table, replies: pa.Table, shards: int) -> pa.Table:
             ok = shared[number]
             if not ok.any():
                 continue
-            begin = np.flatnonzero(ok & np.concatenate([[True], (at[1:] != at[:-1]) | ~ok[:-1]]))
-            stop = np.concatenate([np.flatnonzero(np.concatenate([(at[1:] != at[:-1]) | ~ok[1:], [True]]) & ok)]) + WINDOW
+            alone = hot[number]
+            new = np.concatenate([[True], (at[1:] != at[:-1]) | ~ok[:-1] | alone[1:]])  # a stretch begins
+            begin = np.flatnonzero(ok & new)
+            stop = np.flatnonzero(ok & np.append(new[1:] | ~ok[1:], True)) + WINDOW
             shard = np.searchsorted(edges, number[begin], "right") - 1
+            single = alone[begin]
+            if single.any():
+                shard[single] = np.searchsorted(first_keys, grams(h, WINDOW)[begin[single]], "right")
             short = (h >> _U(16)).tobytes()
             for b, e, s in zip(begin.tolist(), stop.tolist(), shard.tolist(), strict=True):
                 piece = short[8 * b : 8 * e]
@@ -188,21 +200,20 @@ def _earlier(table_: pa.Table) -> pa.Table:
     text[np.repeat(at, n_one) + inner] = number[np.repeat(begin[one], n_one) + inner]
     owner = np.zeros(len(text), np.int64)
     owner[np.repeat(at, n_one) + inner] = np.repeat(np.arange(len(one)), n_one)
-    index = FMIndex(text, len(vocabulary), WINDOW)
+    index = FMIndex(text, len(vocabulary), WINDOW, owner)
+    size, lows, highs = index.matching_statistics(text, at, at + n_one)
 
     windows = n_one - WINDOW + 1
     step = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
     starts = np.repeat(at, windows) + step
-    low, high = np.empty(len(starts), np.int64), np.empty(len(starts), np.int64)
-    for k in range(0, len(starts), 200_000):
-        part = starts[k : k + 200_000]
-        low[k : k + 200_000], high[k : k + 200_000] = index.search(text[part[:, None] + np.arange(WINDOW)])
-    docs_in_order = least[owner[index.places]]
+    low, high = lows[starts].astype(np.int64), highs[starts].astype(np.int64)
+    docs_in_order = least[index.piece]
     intervals, back = np.unique(low, return_inverse=True)
     ends = np.empty(len(intervals), np.int64)
     ends[back] = high
     cuts = np.stack([intervals, ends], 1).reshape(-1)
     answer = np.minimum.reduceat(np.append(docs_in_order, NONE), cuts)[::2][back] if len(cuts) else np.empty(0, np.int64)
+    answer[size[starts] < WINDOW] = NONE  # not reached by any interval
 
     first_window = np.cumsum(windows) - windows
     replies, k = [], 0
@@ -262,8 +273,8 @@ def judged_texts(docs: DataFrame, with_text: bool) -> DataFrame:
     ship(docs.sparkSession)
     n_blocks, n_shards = sizes(docs)
     rows = blocked(docs, {"first": F.coalesce(F.col("doc_id").cast("long"), F.lit(NONE))}, _earliest, n_blocks)
-    asked = rows.groupBy("block").applyInArrow(lean_groups(lambda t: _asked(t, n_shards)), "shard int, block int, keys binary, twice binary")
-    shared = asked.groupBy("shard").applyInArrow(lean_groups(_shared), "block int, shard int, bits binary")
+    asked = rows.groupBy("block").applyInArrow(lean_groups(lambda t: _asked(t, n_shards)), "shard int, block int, keys binary, texts binary")
+    shared = asked.groupBy("shard").applyInArrow(lean_groups(_shared), "block int, shard int, bits binary, hot binary")
     stretches = rows.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(lean_groups(lambda a, b: _stretches(a, b, n_shards)), "shard int, block int, words binary, lengths binary, first binary, which binary, row binary, start binary")
     answers = stretches.groupBy("shard").applyInArrow(lean_groups(_earlier), "block int, lengths binary, which binary, row binary, start binary, answer binary")
     return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lean_groups(lambda a, b: _kept(a, b, with_text)), RESULT)

@@ -4,9 +4,10 @@ import os
 import subprocess
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from notice_engine.llm import bpe, lm, media, substring
+from notice_engine.llm import bpe, lm, media, substring, words
 from notice_engine.llm.blocks import pack, pack_sorted, shard_edges, unpack, unpack_sorted
 from notice_engine.llm.fmindex import FMIndex, WaveletMatrix
 
@@ -74,20 +75,53 @@ def test_substring_stage_keeps_columns_and_clean_texts(spark):
             assert r["text"] == whole[3]
 
 
-def test_fm_index_finds_all_places():
+def test_matching_statistics_against_all_places():
     rng = np.random.default_rng(4)
-    text = np.append(0, rng.integers(0, 6, 399))
-    index = FMIndex(text, 6, 13)
-    for m in (1, 2, 5, 13):
-        starts = np.array([k for k in range(400 - m) if (text[k : k + m] > 0).all()][:60])
-        if not len(starts):
-            continue
-        low, high = index.search(text[starts[:, None] + np.arange(m)])
-        for s, a, b in zip(starts, low, high, strict=True):
-            places = {k for k in range(400 - m + 1) if (text[k : k + m] == text[s : s + m]).all()}
-            assert set(index.places[a:b].tolist()) == places
-    low, high = index.search(np.array([[6, 6, 6]]))
-    assert low[0] == high[0]
+    for _ in range(60):
+        text, depth = np.append(0, rng.integers(0, 5, int(rng.integers(1, 200)))), int(rng.integers(1, 7))
+        index = FMIndex(text, 4, depth, np.arange(len(text)))
+        stream = rng.integers(0, 5, 60)
+        stream[stream == 0] = -1  # words that the index does not hold
+        cuts = [0, 20, 45, 60]
+        size, low, high = index.matching_statistics(stream, np.array(cuts[:-1]), np.array(cuts[1:]))
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            for i in range(a, b):
+                places = []
+                for n in range(1, min(depth, b - i) + 1):
+                    met = [p for p in range(len(text) - n + 1) if (text[p : p + n] == stream[i : i + n]).all()]
+                    if not met:
+                        break
+                    places = [n, met]
+                assert size[i] == (places[0] if places else 0)
+                assert not places or sorted(index.piece[low[i] : high[i]].tolist()) == places[1]
+
+
+@pytest.mark.parametrize("hot", [0, 3])
+def test_hot_minimizers_are_split(spark, monkeypatch, hot):
+    monkeypatch.setattr(substring, "HOT_TEXTS", hot)
+    rng = np.random.default_rng(8)
+    stock = "we may use cookies on this site".split()
+    rows = [(i, " ".join([*rng.choice(list("abcdefgh"), int(rng.integers(0, 9))), *stock, *rng.choice(list("ab"), int(rng.integers(0, 9)))])) for i in range(150)]
+    got = sorted((r["doc_id"], r["n_removed"], r["kept_sha256"]) for r in substring.repeated(frame(spark, rows)).collect())
+    first = {}
+    for _, t in sorted(rows):
+        w = t.split()
+        for k in range(len(w) - 12):
+            first.setdefault(tuple(w[k : k + 13]), _)
+    want = []
+    for i, t in rows:
+        w = t.split()
+        gone = {k + j for k in range(len(w) - 12) if first[tuple(w[k : k + 13])] < i for j in range(13)}
+        want.append((i, len(gone), hashlib.sha256(" ".join(x for k, x in enumerate(w) if k not in gone).encode()).hexdigest()))
+    assert got == sorted(want)
+
+
+def test_counts_beyond_32_and_53_bits():
+    group, values = np.array([0, 1, 0]), np.array([2**53 + 1, 3, 2])
+    assert lm._summed(group, values, 2).tolist() == [2**53 + 3, 3]
+    asked = pa.table({"block": pa.array([0], pa.int32()), "digest": [b"x"], "text": [b"w " * 3000], "train": [2_000_000], "deleted": [0]})
+    counted = lm._counted(pa.Table.from_batches([b for b in lm._asked(asked, 1).to_batches() if b["kind"][0].as_py() == 0]).slice(0, 1))
+    assert sorted(unpack(counted["train"][0].as_py(), "<i8").tolist()) == [2_000_000, 6_000_000_000]
 
 
 def test_wavelet_ranks():
@@ -110,7 +144,7 @@ def test_packing():
 def test_lm_counts_and_base_scores(spark):
     import zlib
 
-    rows = [r for r in corpus(3, 60) if r[0] != 4] + [(400, "zzz Zzz unseen")]
+    rows = [*corpus(3, 60), (400, "zzz Zzz unseen")]
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
     toks = [(i, (t or "").encode().lower().split() + [None]) for i, t in rows]
     count, pairs = {}, {}
@@ -137,7 +171,7 @@ def test_lm_counts_and_base_scores(spark):
     got = lm.scored(frame(spark, rows)).collect()
     order = lambda r: (str(r[0]), r[2], round(r[5], 6))
     for a, b in zip(sorted(got, key=order), sorted(want, key=order), strict=True):
-        assert tuple(a)[:5] == b[:5] and abs(a[5] - b[5]) < 1e-6 and abs(a[6] - b[6]) < 1e-6
+        assert tuple(a)[:5] == b[:5] and abs(a[5] - b[5]) < 1e-6 + 1e-9 * abs(b[5]) and abs(a[6] - b[6]) < 1e-6 + 1e-9 * abs(b[6])
     assert lm.scored(frame(spark, rows).limit(0)).count() == 0
 
 
@@ -164,12 +198,50 @@ def test_bpe_against_the_library(spark):
     assert bpe.encoded(frame(spark, rows).limit(0), path, False).count() == 0
 
 
-def test_bpe_backtracks_exactly_on_random_bytes():
-    v = bpe.vocabulary(bpe.default_path())
+def test_bpe_backtracks_exactly_on_random_pieces():
+    import json
+
+    path = bpe.default_path()
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)["model"]
+    letters = bpe._byte_letters()
+    raw = lambda s: bytes(letters[c] for c in s)
+    ids = {raw(k): v for k, v in spec["vocab"].items()}
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["merges"]]
+    rank = {ids[raw(a)] << 32 | ids[raw(b)]: k for k, (a, b) in enumerate(pairs)}
+    words = {v: k for k, v in ids.items()}
+    v = bpe.vocabulary(path)
     rng = np.random.default_rng(1)
-    for _ in range(1500):
-        raw = bytes(rng.choice(list(b"aeinrst hEo.\xc3\xa9"), int(rng.integers(1, 25))).astype(np.uint8))
-        assert v.backtrack(raw) == v.merged(raw)
+    pieces = ["".join(rng.choice(list("aeinrst hEo.\u00c3\u00e9"), int(rng.integers(0, 25)))) for _ in range(1500)] + ["ab" * 700, "\u00e9" * 900, ""]
+    found, size = v.encode_pieces(pa.array(pieces))
+    for piece, own in zip(pieces, np.split(found, np.cumsum(size)[:-1]), strict=True):
+        assert own.tolist() == bpe._merged(piece.encode(), ids, rank, words)
+
+
+def test_bpe_slices_and_white_space(monkeypatch):
+    from tokenizers import Tokenizer
+
+    lib, v = Tokenizer.from_file(bpe.default_path()), bpe.vocabulary(bpe.default_path())
+    monkeypatch.setattr(bpe, "SLICE", 40)
+    rng = np.random.default_rng(2)
+    bits = [" ", "\n", "  ", "a", "the", " wor", "ld", "\t", "'s", "<|endoftext|>", "\u3000", "\x1c", "!", "zq", "12"]
+    texts = ["".join(rng.choice(bits, int(rng.integers(0, 9)))) for _ in range(600)]
+    ids, n = v.encode_all(texts)
+    for t, own in zip(texts, np.split(ids, np.cumsum(n)[:-1]), strict=True):
+        assert own.tolist() == lib.encode(t, add_special_tokens=False).ids and v.decode(own) == t.encode()
+
+
+def test_words_are_those_of_split():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        texts = [bytes(rng.choice(list(b"ab \t\n\r\x0b\x0c\x00"), int(rng.integers(0, 12))).astype(np.uint8)) for _ in range(int(rng.integers(0, 6)))]
+        w = words.words_of(texts)
+        got = [[bytes(w.data[a:b]) for a, b in zip(w.starts[i:j], w.ends[i:j], strict=True)] for i, j in zip(w.first, w.first[1:], strict=False)]
+        assert got == [t.split() for t in texts] and (w.hashes() == words.hashes([x for t in texts for x in t.split()])).all()
+    long = [b"x" * 200, b"y" * 64 + b"z", b"x" * 201, b"X" * 200]
+    assert len(set(words.hashes(long).tolist())) == 4 and words.words_of(long).hashes(lower=True)[3] == words.hashes(long)[0]
+    column = pa.array([None, b"", b"ab c", b"d" * 50], pa.binary()).slice(1)
+    assert [list(r) for r in words.slices(column, 10)] == [[0, 2], [2, 3]] and len(words.words_of(column).starts) == 3
 
 
 def test_media_round_trip(spark):
