@@ -45,7 +45,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notice_engine.llm.lean import lean_batches
+from notice_engine.llm.lean import give_back, lean_batches
 from notice_engine.llm.words import slices
 from notice_engine.session import ship, table
 
@@ -110,15 +110,10 @@ class BytePairs:
         self.sizes = np.array([len(words.get(i, b"")) for i in range(n)], np.int64)
         self.offsets = np.concatenate([[0], np.cumsum(self.sizes)])
         self.letters = np.frombuffer(b"".join(words.get(i, b"") for i in range(n)), np.uint8)
-        #: the pairs that merge, in a table of slots, with their places in the list of merges; and the pair that makes each token (-1: none)
         left, right = (np.array([ids[as_bytes(m[k])] for m in merges], np.int64) for k in (0, 1))
         made = np.array([ids[as_bytes(a + b)] for a, b in merges], np.int64)
-        self._fill(left << 32 | right)
-        self.made = np.full((3, n), -1, np.int64)  # left, right, place
-        for row, values in enumerate((left, right, np.arange(len(merges)))):
-            self.made[row, made[::-1]] = values[::-1]
-        #: at each end of a token: the tokens that lie there while it is being merged, each with the place of the merge that takes it in
-        self.ends, self.starts = (self._edges(side) for side in (1, 0))
+        self.merges = np.stack([left, right, made]).astype(np.int32)
+        self._tables(n)
         #: tokens that their own bytes give; and for each the longest other that it starts with (-1: none)
         rank = {a << 32 | b: k for k, (a, b) in enumerate(zip(left.tolist(), right.tolist(), strict=True))}
         alone = {word: i for word, i in ids.items() if _merged(word, ids, rank, words) == [i]}
@@ -130,6 +125,24 @@ class BytePairs:
             self.automaton.add_word(word.decode("latin-1"), i)
         self.automaton.make_automaton()
 
+    def _tables(self, n: int) -> None:
+        """What follows from the list of merges; a task makes it anew."""
+        left, right, made = self.merges.astype(np.int64)
+        #: the pairs that merge, in a table of slots, with their places in the list of merges; and the pair that makes each token (-1: none)
+        self._fill(left << 32 | right)
+        self.made = np.full((3, n), -1, np.int64)  # left, right, place
+        for row, values in enumerate((left, right, np.arange(len(left)))):
+            self.made[row, made[::-1]] = values[::-1]
+        #: at each end of a token: the tokens that lie there while it is being merged, each with the place of the merge that takes it in
+        self.ends, self.starts = (self._edges(side) for side in (1, 0))
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k not in ("pairs", "places", "made", "ends", "starts")}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._tables(len(self.sizes))
+
     def _edges(self, side: int) -> tuple[np.ndarray, np.ndarray]:
         token, taken = np.arange(self.made.shape[1]), np.full(self.made.shape[1], _NEVER)
         tokens, places = [token], [taken]
@@ -431,14 +444,12 @@ def _valid(column: pa.Array) -> pa.Array:
     return pc.fill_null(text, "")
 
 
-_compiled: dict[str, BytePairs] = {}
-
-
 def vocabulary(path: str) -> BytePairs:
-    """Compiled on the driver, once for each file."""
-    if path not in _compiled:
-        _compiled[path] = BytePairs(path)
-    return _compiled[path]
+    """Compiled on the driver, which does not keep it."""
+    try:
+        return BytePairs(path)
+    finally:
+        give_back()
 
 
 def encoded(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFrame:

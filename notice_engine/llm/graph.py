@@ -28,8 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         after = written(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "cc-edges")
         # stars: nobody is both a centre and a point, and every point has one centre
-        centres = after.select(F.col("b").alias("a")).distinct()
-        done = after.join(centres, "a", "left_semi").isEmpty() and after.groupBy("a").count().where("count > 1").isEmpty()
+        nodes = after.select(F.col("a").alias("node"), F.lit(1).alias("point"), F.lit(0).alias("centre")).union(after.select("b", F.lit(0), F.lit(1)))
+        done = nodes.groupBy("node").agg(F.sum("point").alias("points"), F.max("centre").alias("centre")).where("points + centre > 1").isEmpty()
         edges = after
         if done:
             break
