@@ -13,7 +13,7 @@ are no inputs of a score.
 
 Defined cases: null text is empty; texts without words have all statistics 0;
 null quality labels and null doc_ids are not learnt from; a doc_id with several
-labels counts once for each; without labels of both classes the score is the
+labels counts once for each different one, and one of its texts counts; without labels of both classes the score is the
 share of good labels, or 0.5 without any label, and also the share where the
 labelled texts are too few or too alike for a rule; repeated rows get equal scores;
 other columns are ignored.
@@ -70,7 +70,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> t
     picked = usable.select("doc_id", F.col("quality").cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(sample)
     few = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
     stats = statistics(F.col("text"))
-    rows = few.select("y", *[stats[n].alias(n) for n in NAMES]).toPandas()
+    one = few.groupBy("doc_id", "y").agg(F.min(F.struct(*[stats[n].alias(n) for n in NAMES])).alias("s"))  # so no more rows than labels
+    rows = one.select("y", "s.*").toPandas()
     x = rows[list(NAMES)].to_numpy(float).reshape(-1, len(NAMES))
     y = (rows["y"].to_numpy(float) > 0).astype(float)
     order = np.lexsort((*x.T, y))  # rows arrive in any order; sums then agree from run to run
