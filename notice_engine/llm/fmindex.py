@@ -75,14 +75,19 @@ class FMIndex:
             index = np.argsort(order, kind="stable")
             in_order = order[index]
             new = np.concatenate([[0], np.cumsum(in_order[1:] != in_order[:-1])]) if n else np.empty(0, np.int64)
-            ranks = np.empty(n, np.int64)
-            ranks[index] = new
+            del in_order, order
             if span >= depth or n and new[-1] == n - 1:
                 break
-            behind = np.zeros(n, np.int64)
-            behind[: n - span] = ranks[span:] + 1
-            order = ranks * (n + 1) + behind
+            order = np.empty(n, np.int64)
+            order[index] = new  # ranks
+            del index, new
+            behind = order[span:] + 1
+            order *= n + 1
+            order[: n - span] += behind
+            del behind
             span *= 2
+        del new
+        index = index.astype(np.int32 if n < 1 << 31 else np.int64)
         self.depth, self.rows = depth, n
         self.piece = piece[index].astype(np.int32)
         self.first = np.searchsorted(text[index], np.arange(most + 2))
@@ -95,8 +100,8 @@ class FMIndex:
             alike, a, b = (x[(a < n) & (b < n)] for x in (alike, a, b))
             alike = alike[(text[a] == text[b]) & (text[a] != 0)]
             self.common[alike] += 1
-        #: for each length: where rows that share so many words begin
-        self.groups = [np.flatnonzero(self.common < d).astype(np.int32) for d in range(depth + 1)]
+        #: for a length: where rows that share so many words begin; made when it is first asked for
+        self.groups: dict[int, np.ndarray] = {}
 
     def _widened(self, low: np.ndarray, high: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The intervals of all rows that share the first ``length`` words with the given ones."""
@@ -106,6 +111,8 @@ class FMIndex:
             if d == 0:
                 low[own], high[own] = 0, self.rows
             else:
+                if d not in self.groups:
+                    self.groups[d] = np.flatnonzero(self.common < d).astype(np.int32)
                 low[own] = self.groups[d][np.searchsorted(self.groups[d], low[own], "right") - 1]
                 high[own] = self.groups[d][np.searchsorted(self.groups[d], high[own], "left")]
         return low, high

@@ -180,14 +180,13 @@ def _earlier(table_: pa.Table) -> pa.Table:
         firsts.append(unpack(f, "<i8"))
     per_block = [len(n) for n in lengths]
     flat, length, first = np.concatenate(words), np.concatenate(lengths), np.concatenate(firsts)
-    vocabulary, number = np.unique(flat, return_inverse=True)
-    number = number + 1
+    del words, lengths, firsts
     # equal stretches of different blocks are indexed once
     begin = np.concatenate([[0], np.cumsum(length)[:-1]])
     known: dict[bytes, int] = {}
-    raw, same = flat.tobytes(), np.empty(len(length), np.int64)
+    same = np.empty(len(length), np.int64)
     for k, (b, n) in enumerate(zip(begin.tolist(), length.tolist(), strict=True)):
-        same[k] = known.setdefault(raw[8 * b : 8 * (b + n)], len(known))
+        same[k] = known.setdefault(hashlib.blake2b(flat[b : b + n], digest_size=16).digest(), len(known))
     one = np.full(len(known), -1)
     one[same[::-1]] = np.arange(len(length))[::-1]
     least = np.full(len(known), NONE)
@@ -196,11 +195,16 @@ def _earlier(table_: pa.Table) -> pa.Table:
     n_one = length[one]
     at = np.concatenate([[0], np.cumsum(n_one + 1)[:-1]]) + 1
     inner = np.arange(n_one.sum()) - np.repeat(np.cumsum(n_one) - n_one, n_one)
-    text = np.zeros(int(n_one.sum() + len(n_one)), np.int64)
-    text[np.repeat(at, n_one) + inner] = number[np.repeat(begin[one], n_one) + inner]
-    owner = np.zeros(len(text), np.int64)
-    owner[np.repeat(at, n_one) + inner] = np.repeat(np.arange(len(one)), n_one)
+    vocabulary, number = np.unique(flat[np.repeat(begin[one], n_one) + inner], return_inverse=True)
+    del flat, known
+    place = np.repeat(at, n_one) + inner
+    del inner
+    text, owner = np.zeros(int(n_one.sum() + len(n_one)), np.int32), np.zeros(int(n_one.sum() + len(n_one)), np.int32)
+    text[place] = number + 1
+    owner[place] = np.repeat(np.arange(len(one)), n_one)
+    del number, place
     index = FMIndex(text, len(vocabulary), WINDOW, owner)
+    del owner, vocabulary
     size, lows, highs = index.matching_statistics(text, at, at + n_one)
 
     windows = n_one - WINDOW + 1
