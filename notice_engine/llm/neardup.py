@@ -25,7 +25,8 @@ which joins most of a large group at little cost. The second takes the larger
 buckets whose texts are still in different classes and compares all their texts of
 different classes, block against block. Pairs within a class need no look, since
 they cannot change it. A bucket of n texts that stay apart costs n * n / 2
-comparisons of signatures.
+comparisons of signatures, and the pairs that pass are verified where they are
+compared: rows are texts and the links that join classes, fewer than texts; never pairs.
 
 Classes are the components of the verified links.
 
@@ -41,9 +42,11 @@ columns are kept by :func:`without_near_duplicates` and ignored otherwise. Nodes
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -60,6 +63,8 @@ PARTS = BANDS * ROWS
 SMALL_BUCKET, MEMBERS = 16, 3
 #: Texts of a large bucket whose signatures are compared at once, and of those the texts verified at once: of each side, about.
 BLOCK, TILE = 2048, 128
+#: Bytes of text in such a block, about.
+BLOCK_BYTES = 6_000_000
 ESTIMATE = 0.64
 #: Ids of texts to verify, or of documents to leave out, that are broadcast at most (8 bytes each); beyond, joins shuffle.
 BROADCAST_IDS = 2_000_000
@@ -158,7 +163,7 @@ def _text_id(raw) -> int:
 
 
 def signed_texts(docs: DataFrame) -> DataFrame:
-    """tid, first (smallest doc_id), bands and short (16 bits of each signature value) for each different text with words."""
+    """tid, first (smallest doc_id), bands, short (16 bits of each signature value) and size (bytes) for each different text with words."""
     kind = docs.schema["doc_id"].dataType
     ship(docs.sparkSession)
     arrow_kind = to_arrow_type(kind)
@@ -187,7 +192,8 @@ def signed_texts(docs: DataFrame) -> DataFrame:
                 yield signed(texts, rows, firsts, kept)
 
     def signed(texts, rows, firsts, kept) -> pa.RecordBatch:
-        sig = signatures(shingle_sets(texts.take(pa.array([rows[t] for t in kept]))))
+        own = texts.take(pa.array([rows[t] for t in kept]))
+        sig = signatures(shingle_sets(own))
         short = (mixed(sig) >> _U(48)).astype("<u2")
         return pa.RecordBatch.from_arrays(
             [
@@ -195,13 +201,14 @@ def signed_texts(docs: DataFrame) -> DataFrame:
                 pa.array([firsts[t] for t in kept], arrow_kind),
                 pa.ListArray.from_arrays(pa.array(np.arange(0, len(kept) * BANDS + 1, BANDS), pa.int32()), pa.array(band_keys(sig).view(np.int64).reshape(-1))),
                 pa.array([s.tobytes() for s in short], pa.binary()),
+                pc.binary_length(own).cast(pa.int64()),
             ],
-            names=["tid", "first", "bands", "short"],
+            names=["tid", "first", "bands", "short", "size"],
         )
 
     with_words = docs.where(F.col("text").rlike(WORD)).select("doc_id", F.col("text").cast("binary"))
-    rows = with_words.mapInArrow(run, f"tid long, first {kind.simpleString()}, bands array<long>, short binary")
-    return rows.groupBy("tid").agg(F.min("first").alias("first"), F.any_value("bands").alias("bands"), F.any_value("short").alias("short"))
+    rows = with_words.mapInArrow(run, f"tid long, first {kind.simpleString()}, bands array<long>, short binary, size long")
+    return rows.groupBy("tid").agg(F.min("first").alias("first"), *[F.any_value(c).alias(c) for c in ("bands", "short", "size")])
 
 
 def shared_buckets(texts: DataFrame) -> DataFrame:
@@ -234,52 +241,117 @@ def candidate_pairs(texts: DataFrame, met: DataFrame) -> DataFrame:
     return joined.mapInArrow(estimate, "a long, b long, alike double")
 
 
-def pairs_between(texts: DataFrame, met: DataFrame, roots: DataFrame) -> DataFrame:
-    """(key, i, j, a, b, alike), a < b: the second pass; all pairs of large buckets with different roots, alike by their signatures.
+def dealt_buckets(texts: DataFrame, met: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, i, j, tid, root, block): the texts of large buckets with different roots, once for each pair i, j of blocks that has their own.
 
     The texts of a bucket's most frequent root and the others are dealt to blocks
-    apart, so that blocks of that root do not meet each other. A pair is given by the
-    first bucket that it shares; if that one is small, the first pass had the pair.
+    apart, so that blocks of that root do not meet each other.
     """
     rows = met.where(F.col("n") > SMALL_BUCKET).select("key", "tid").join(roots.withColumnRenamed("node", "tid"), "tid", "left")
-    rows = written(rows.select("key", "tid", F.coalesce("root", "tid").alias("root")), "bmh-large")
-    roots_of = rows.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key")
-    open_ = roots_of.agg(F.count("*").alias("roots"), F.sum("c").alias("n"), F.max(F.struct("c", "root")).alias("top")).where("roots > 1")
-    blocks = lambda n: F.ceil(n / F.lit(BLOCK))
-    open_ = open_.select("key", F.col("top.root").alias("top"), blocks(F.col("n") - F.col("top.c")).alias("others"), blocks(F.col("top.c")).alias("tops"))
-    rows = rows.join(open_, "key").join(texts.select("tid", "bands", "short"), "tid")
+    rows = rows.select("key", "tid", F.coalesce("root", "tid").alias("root")).join(texts.select("tid", "size"), "tid")
+    rows = written(rows.select("key", "tid", "root", "size"), "bmh-large")
+    roots_of = rows.groupBy("key", "root").agg(F.count("*").alias("c"), F.sum("size").alias("size")).groupBy("key")
+    open_ = roots_of.agg(F.count("*").alias("roots"), F.sum("c").alias("n"), F.sum("size").alias("size"), F.max(F.struct("c", "root", "size")).alias("top")).where("roots > 1")
+    blocks = lambda n, size: F.ceil(F.greatest(n / F.lit(BLOCK), size / F.lit(BLOCK_BYTES)))
+    others, tops = blocks(F.col("n") - F.col("top.c"), F.col("size") - F.col("top.size")), blocks(F.col("top.c"), F.col("top.size"))
+    rows = rows.join(open_.select("key", F.col("top.root").alias("top"), others.alias("others"), tops.alias("tops")), "key")
     salt, is_top = F.xxhash64("tid"), F.col("root") == F.col("top")
     block = F.when(is_top, F.col("others") + F.pmod(salt, F.col("tops"))).otherwise(F.pmod(salt, F.col("others")))
     partners = F.sequence(F.lit(0).cast("long"), F.when(is_top, F.col("others")).otherwise(F.col("others") + F.col("tops")) - 1)
     rows = rows.withColumn("block", block).withColumn("partner", F.explode(partners))
-    rows = rows.select("key", F.least("block", "partner").alias("i"), F.greatest("block", "partner").alias("j"), "tid", "root", "block", "bands", "short")
+    return rows.select("key", F.least("block", "partner").alias("i"), F.greatest("block", "partner").alias("j"), "tid", "root", "block")
+
+
+def _near(group: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """A row of a pair of blocks (key, i, j, tid, root, block, bands, short), the rows of other roots that are like it by their signatures, and how much.
+
+    A pair is given by the first bucket that it shares; if that one is small, the first pass had the pair.
+    """
+    key, i, j = (group.column(k)[0].as_py() for k in range(3))
+    root, block = (group.column(k).to_numpy() for k in (4, 5))
+    bands = group.column(6).combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    short = np.frombuffer(b"".join(group.column(7).to_pylist()), "<u2").reshape(-1, PARTS)
+    x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    root_y, short_y = root[y], short[y]
+    for k, row in enumerate(x.tolist()):
+        start = k + 1 if i == j else 0
+        alike = np.count_nonzero(short_y[start:] == short[row], axis=1) / PARTS
+        near = np.flatnonzero((alike >= ESTIMATE) & (root_y[start:] != root[row]))
+        other = y[start:][near]
+        shared = bands[other] == bands[row]
+        first = bands[row][shared.argmax(axis=1)] == key
+        yield row, other[first], alike[near[first]]
+
+
+def pairs_between(texts: DataFrame, met: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, i, j, a, b, alike), a < b: all pairs of large buckets with different roots, alike by their signatures, as a table. :func:`links_between` does without that table."""
     ship(texts.sparkSession)
 
     @lean_groups
     def compare(group: pa.Table) -> pa.Table:
-        key, i, j = (group.column(k)[0].as_py() for k in range(3))
-        tid, root, block = (group.column(k).to_numpy() for k in (3, 4, 5))
-        bands = group.column(6).combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-        short = np.frombuffer(b"".join(group.column(7).to_pylist()), "<u2").reshape(-1, PARTS)
-        x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        root_y, short_y = root[y], short[y]
+        tid = group.column(3).to_numpy()
         found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
-        for k, row in enumerate(x):
-            start = k + 1 if i == j else 0
-            alike = np.count_nonzero(short_y[start:] == short[row], axis=1) / PARTS
-            near = np.flatnonzero((alike >= ESTIMATE) & (root_y[start:] != root[row]))
-            other = y[start:][near]
-            shared = bands[other] == bands[row]
-            first = bands[row][shared.argmax(axis=1)] == key
-            other = tid[other[first]]
-            found.append((np.minimum(other, tid[row]), np.maximum(other, tid[row]), alike[near[first]]))
+        found += [(np.minimum(tid[other], tid[row]), np.maximum(tid[other], tid[row]), alike) for row, other, alike in _near(group)]
         a, b, alike = (np.concatenate(f) for f in zip(*found, strict=True))
-        same = lambda v: pa.array(np.full(len(a), v, np.int64))
-        return pa.table({"key": same(key), "i": same(i), "j": same(j), "a": a, "b": b, "alike": alike})
+        key, i, j = (pa.array(np.full(len(a), group.column(k)[0].as_py(), np.int64)) for k in range(3))
+        return pa.table({"key": key, "i": i, "j": j, "a": a, "b": b, "alike": alike})
 
+    rows = dealt_buckets(texts, met, roots).join(texts.select("tid", "bands", "short"), "tid").select("key", "i", "j", "tid", "root", "block", "bands", "short")
     return rows.groupBy("key", "i", "j").applyInArrow(compare, "key long, i long, j long, a long, b long, alike double")
 
 
+def links_between(texts: DataFrame, met: DataFrame, roots: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b), a < b: the second pass; verified links of large buckets, as many as it takes to join the roots that any verified pair of :func:`pairs_between` joins.
+
+    Pairs are verified within their pair of blocks, those that links found there have joined already are passed over.
+    """
+    rows = written(dealt_buckets(texts, met, roots), "bmh-dealt")
+    ids = written(rows.select("tid").distinct(), "bmh-ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    own = docs.select(text_id(F.col("text")).alias("tid"), "text").join(ids, "tid", "left_semi").groupBy("tid").agg(F.any_value("text").cast("binary").alias("text"))
+    own = texts.select("tid", "bands", "short").join(own, "tid")
+    ship(docs.sparkSession)
+
+    @lean_groups
+    def run(group: pa.Table) -> pa.Table:
+        found = [f for f in _near(group) if len(f[1])]
+        if not found:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        tid, root = (group.column(k).to_numpy() for k in (3, 4))
+        used = np.unique(np.concatenate([[row for row, _, _ in found], *[other for _, other, _ in found]]))
+        members = group.column(8).combine_chunks().take(pa.array(used))
+        sets = [np.unique(s, return_counts=True) for a, b in slices(members, AT_ONCE) for s in shingle_sets(members.slice(a, b - a))]
+        _, word = np.unique(np.concatenate([v for v, _ in sets]), return_inverse=True)
+        count = np.concatenate([c for _, c in sets])
+        ends = np.cumsum([len(v) for v, _ in sets])
+        starts = ends - [len(v) for v, _ in sets]
+        total = np.add.reduceat(count, starts)
+        _, joined = np.unique(root[used], return_inverse=True)
+        weight, links = np.zeros(word.max() + 1, count.dtype), []
+        for row, other, alike in found:
+            k, rest = int(np.searchsorted(used, row)), np.searchsorted(used, other[np.argsort(-alike, kind="stable")])
+            rest = rest[joined[rest] != joined[k]]
+            if not len(rest):
+                continue
+            n = ends[rest] - starts[rest]
+            begin = np.cumsum(n) - n
+            theirs = np.arange(n.sum()) + np.repeat(starts[rest] - begin, n)
+            part = slice(starts[k], ends[k])
+            weight[word[part]] = count[part]
+            low = np.add.reduceat(np.minimum(weight[word[theirs]], count[theirs]), begin)
+            weight[word[part]] = 0
+            for r in rest[low / (total[k] + total[rest] - low) >= SIMILAR].tolist():
+                if joined[r] != joined[k]:
+                    joined[joined == joined[r]] = joined[k]
+                    links.append((k, r))
+        a, b = tid[used[np.array(links, np.int64).reshape(-1, 2)]].T
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    sent = rows.join(own, "tid").select("key", "i", "j", "tid", "root", "block", "bands", "short", "text")
+    return sent.groupBy("key", "i", "j").applyInArrow(run, "a long, b long")
+
+
 def verified_in_tiles(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """As :func:`verified`, for many pairs (key, i, j, a, b) of few texts: a text is sent once to each tile of pairs, not to each pair."""
     tile = ["key", "i", "j", "u", "v"]
@@ -379,18 +451,9 @@ def near_duplicate_texts(docs: DataFrame) -> DataFrame:
         if not more.isEmpty():
             links = links.union(more)
             roots = written(components(links), "bmh-roots")
-    between = written(pairs_between(texts, met, roots), "bmh-between")
-    if not between.isEmpty():
-        best = written(best_two(between), "bmh-best")
-        more = written(verified(best, docs), "bmh-links")
-        if not more.isEmpty():
-            links = links.union(more)
-            roots = written(components(links), "bmh-roots")
-        rest = written(open_pairs(between.drop("alike"), best, roots), "bmh-rest")
-        if not rest.isEmpty():
-            more = written(verified_in_tiles(rest, docs), "bmh-links")
-            if not more.isEmpty():
-                roots = written(components(links.union(more)), "bmh-roots")
+    more = written(links_between(texts, met, roots, docs), "bmh-links")
+    if not more.isEmpty():
+        roots = written(components(links.union(more)), "bmh-roots")
     out = texts.select("tid", "first").join(roots.withColumnRenamed("node", "tid"), "tid", "left").withColumn("root", F.coalesce("root", "tid"))
     ids = out.groupBy("root").agg(F.min("first").alias("class_id"))
     return out.join(ids, "root").select("tid", "first", "class_id")

@@ -156,3 +156,39 @@ def test_second_pass_has_every_pair_of_large_buckets(spark):
 def test_each_bucket_draws_its_own_members(spark):
     met = neardup.shared_buckets(spark.createDataFrame([(t, list(range(24))) for t in range(40)], "tid bigint, bands array<bigint>"))
     assert len({r[f"r{k}"] for r in met.collect() for k in range(neardup.MEMBERS)}) > neardup.MEMBERS
+
+
+@pytest.mark.parametrize(("block", "size"), [(neardup.BLOCK, neardup.BLOCK_BYTES), (50, neardup.BLOCK_BYTES), (neardup.BLOCK, 100_000)])
+def test_second_pass_gives_fewer_links_than_texts_and_joins_what_all_pairs_join(spark, block, size, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", size)
+    rows = star(150) + [(1000 + i, t) for i, t in star(60, 4)]
+    docs = frame(spark, rows).select("doc_id", "text")
+    texts = neardup.written(neardup.signed_texts(docs), "t")
+    met = neardup.written(neardup.shared_buckets(texts), "m")
+    none = spark.createDataFrame([], "node bigint, root bigint")
+    pairs = neardup.written(neardup.pairs_between(texts, met, none), "p")
+    every, links = neardup.verified(pairs, docs), neardup.written(neardup.links_between(texts, met, none, docs), "l")
+    of = lambda df: {(r["a"], r["b"]) for r in df.collect()}
+    assert of(links) <= of(every)
+    roots = lambda df: {(r["node"], r["root"]) for r in components(df).collect()}
+    assert roots(links) == roots(every) != set()
+    dealt = neardup.dealt_buckets(texts, met, none)
+    assert links.count() < dealt.count() and pairs.count() > 10 * len(rows)
+    assert (dealt.agg(F.max("j")).first()[0] > 1) == (block == 50 or size == 100_000)
+
+
+def test_classes_make_no_table_of_pairs_of_large_buckets(spark, monkeypatch):
+    seen = {}
+    real = neardup.written
+
+    def counted(df, label):
+        out = real(df, label)
+        seen[label] = max(seen.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "written", counted)
+    rows = star(400)
+    neardup.classes(frame(spark, rows)).collect()
+    first_pass = neardup.BANDS * (neardup.MEMBERS + neardup.SMALL_BUCKET / 2) * len(rows)
+    assert max(seen.values()) < first_pass / 4, seen
