@@ -1,8 +1,8 @@
 """WARC files and a Merkle fixity audit of two replicas.
 
 Pages are written as WARC/1.1 ``resource`` records into files of bounded size in the
-shared folder, and read back from the bytes of those files, record by record by their
-Content-Length. Each replica has two trees over its files: one of the records' digests
+shared folder, plain or as gzip, and read back from the bytes of those files, record by
+record by their Content-Length. Offsets are those in the plain file. Each replica has two trees over its files: one of the records' digests
 and one of their offset ranges, both in order of offset. Leaves are hashed in groups of
 ``FAN`` into nodes, level by level, up to one root for each file, and the roots of files
 in the same way up to one root for the replica. The audit compares roots and descends
@@ -18,7 +18,7 @@ offset have ``moved``; they are looked for in files whose offset roots differ.
 Defined cases: null url and null html are empty; a null page_id is written as an empty
 id; repeated rows are records of their own; records are ordered within a file by
 page_id, url and digest; a file that cannot be read on from some place ends in one
-record without id, up to its end; a file without records in one replica differs as a
+record without id, up to its end, also where its gzip stream breaks; a file without records in one replica differs as a
 whole; empty tables agree and give no rows; other columns are ignored.
 """
 
@@ -26,7 +26,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -38,6 +40,7 @@ from notice_engine.session import scratch, ship, table, written
 FAN = 16
 #: Bytes of a file, on average.
 FILE_BYTES = 4_000_000
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _END = "\r\n\r\n"
 
 
@@ -65,12 +68,23 @@ def placed(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", "html", file.alias("file"), F.struct("page_id", "url", digest.alias("digest")).alias("place"))
 
 
-def write_files(rows: DataFrame, label: str) -> str:
-    """Write rows of :func:`placed` as WARC files, one for each ``file``; the folder they are in."""
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries within remove their shuffle files when they end, not when the driver happens to collect its garbage."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
+def write_files(rows: DataFrame, label: str, codec: str = "none") -> str:
+    """Write rows of :func:`placed` as WARC files, one for each ``file``, plain or by ``codec`` gzip; the folder they are in."""
     folder = scratch(rows.sparkSession, f"warc-{label}")
     records = rows.select("file", "place", record_text(F.col("page_id"), F.col("url"), F.col("html")).alias("value"))
     dealt = records.repartition("file").sortWithinPartitions("file", "place").select("file", "value")
-    dealt.write.partitionBy("file").option("lineSep", _END).text(folder)
+    dealt.write.partitionBy("file").option("lineSep", _END).option("compression", codec).option("zlib.compress.level", "BEST_SPEED").text(folder)
     return folder
 
 
@@ -93,6 +107,24 @@ def records_in(content: bytes) -> Iterator[tuple[str | None, int, int, str]]:
         at = stop
 
 
+def plain(stored: bytes) -> bytes:
+    """The content of a file that may be gzip; from where its stream breaks, the stored bytes."""
+    parts = []
+    while stored[:2] == b"\x1f\x8b":
+        stream, at = zlib.decompressobj(31), 0
+        try:
+            for at in range(0, len(stored), 1 << 12):
+                parts.append(stream.decompress(stored[at : at + (1 << 12)]))
+                if stream.eof:
+                    break
+        except zlib.error:
+            return b"".join([*parts, stored[at:]])
+        if not stream.eof:
+            return b"".join([*parts, b"\0"])
+        stored = stored[min(at + (1 << 12), len(stored)) - len(stream.unused_data) :]  # a next member
+    return b"".join([*parts, stored])
+
+
 def read_files(spark: SparkSession, folder: str) -> DataFrame:
     """file, seq, id, start, size and sha256 of each record of the WARC files in a folder."""
     ship(spark)
@@ -101,17 +133,17 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             for file, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = list(records_in(content.as_py()))
+                found = list(records_in(plain(content.as_py())))
                 columns = list(zip(*found, strict=True)) or [()] * 4
                 kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array([file] * len(found), pa.int32()), pa.array(range(len(found)), pa.int64()), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]], names=["file", "seq", "id", "start", "size", "sha256"])
 
     schema = "file int, seq long, id string, start long, size long, sha256 string"
     jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{folder}/file=*/*.txt")
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{folder}/file=*/*.txt*")
     if not (pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []):
         return spark.createDataFrame([], schema)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(folder)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt*").load(folder)
     number = F.regexp_extract("path", r"/file=(\d+)/", 1).cast("int")
     return files.select(number.alias("file"), "content").mapInArrow(run, schema)
 
@@ -203,12 +235,16 @@ def damaged(rows: DataFrame) -> DataFrame:
 
 
 def fixity(pages: DataFrame, damage=damaged) -> DataFrame:
-    """Every record of ``pages`` in the first replica with what the audit found in a second one: ok, bytes, moved or missing; and ``extra`` records of the second. ``damage`` makes the second's rows from the first's."""
+    """Every record of ``pages`` in the first replica with what the audit found in a second one: ok, bytes, moved or missing; and ``extra`` records of the second. ``damage`` makes the second's rows from the first's.
+
+    ``pages`` is computed for each replica and must be the same then. Both replicas are gzip.
+    """
     spark = pages.sparkSession
-    rows = written(placed(pages), "warc-pages")
-    left, right = (written(read_files(spark, write_files(s, label)), f"warc-{label}") for s, label in ((rows, "a"), (damage(rows), "b")))
-    found, _ = audit(left, right)
-    found = written(found, "warc-findings")
+    rows = placed(pages)
+    with shuffles_removed(spark):
+        left, right = (written(read_files(spark, write_files(s, label, "gzip")), f"warc-{label}") for s, label in ((rows, "a"), (damage(rows), "b")))
+        found, _ = audit(left, right)
+        found = written(found, "warc-findings")
     kind = pages.schema["page_id"].dataType
     own = left.join(found.where("finding <> 'extra'").select("file", "seq", "finding"), ["file", "seq"], "left").withColumn("finding", F.coalesce("finding", F.lit("ok")))
     every = own.unionByName(found.where("finding = 'extra'").select(*own.columns))

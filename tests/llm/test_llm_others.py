@@ -1,4 +1,6 @@
+import gzip
 import hashlib
+import pathlib
 import math
 import zlib
 
@@ -174,3 +176,25 @@ def test_damage_is_found_in_the_query(spark):
     pick = lambda f: {r["page_id"] for r in got if r["finding"] == f}
     assert (pick("bytes"), pick("missing"), pick("extra")) == (hurt, lost, added) and hurt and lost and added
     assert len([r for r in got if r["finding"] != "extra"]) == 400
+
+
+def test_gzip_files_give_the_records_of_plain_ones(spark):
+    rows = warc.placed(pages(spark, [(k, f"u{k}", f"<p>{'z' * (k * 7 % 90)} é</p>\r\n\r\n") for k in range(200)]))
+    read = lambda codec: sorted(map(tuple, warc.read_files(spark, warc.write_files(rows, "z", codec)).collect()))
+    assert read("gzip") == read("none") and len(read("none")) == 200
+    noise = np.random.default_rng(1).integers(0, 256, 50_000, dtype=np.uint8).tobytes()
+    stored = gzip.compress(noise)
+    assert warc.plain(stored) == warc.plain(noise) == noise and warc.plain(b"") == b""
+    assert warc.plain(gzip.compress(b"ab") + gzip.compress(b"") + stored) == b"ab" + noise
+    assert warc.plain(stored[:-3]) == noise + b"\0"
+    hurt = stored[:20_000] + bytes(40) + stored[20_040:]
+    assert warc.plain(hurt) != noise and warc.plain(hurt)[:15_000] == noise[:15_000]
+
+
+def test_replicas_take_less_than_the_pages(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    held = lambda: sum(f.stat().st_size for f in pathlib.Path(root).glob("notice-warc-*/**/*") if f.is_file())
+    html = ["".join(np.random.default_rng(k).choice(list("abcdefgh"), 20_000)) for k in range(60)]
+    before, setting = held(), spark.conf.get(warc.CLEANUP)
+    assert warc.fixity(pages(spark, [(k, f"u{k}", h) for k, h in enumerate(html)])).count() >= 60
+    assert held() - before < 60 * 20_000 and spark.conf.get(warc.CLEANUP) == setting
