@@ -57,34 +57,39 @@ def _earliest(a: list, b: list) -> list:
     return [min(a[0], b[0])]
 
 
-def minimizers(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each window of a text's word hashes: where its minimizer starts (the leftmost of equal ones), and its key."""
-    g = grams(h, MINIMIZER)
-    wide = WINDOW - MINIMIZER + 1
-    n = len(h) - WINDOW + 1
-    if n <= 0:
-        return np.empty(0, np.int64), np.empty(0, _U)
-    at = np.arange(n)
-    least = g[:n].copy()
-    for j in range(1, wide):
-        other = g[j : j + n]
-        smaller = other < least
-        least[smaller] = other[smaller]
-        at[smaller] = np.flatnonzero(smaller) + j
-    return at, mixed(least)
-
-
-def _word_hashes(texts: list[tuple[bytes, bytes, list]]) -> list[np.ndarray]:
-    words = words_of([raw for _, raw, _ in texts])
-    return np.split(words.hashes(), words.first[1:-1])
+def minimizer_runs(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows that have their minimizer (the leftmost of equal ones) at the same place.
+
+    Text k has the word hashes h[first[k]:first[k + 1]]. For each run: its text, where in
+    ``h`` its first window starts and the one behind its last, and the minimizer's key.
+    """
+    windows = np.maximum(np.diff(first) - WINDOW + 1, 0)
+    if not windows.sum():
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, _U)
+    least = grams(h, MINIMIZER)
+    at = np.arange(len(least), dtype=np.int32 if len(least) < 1 << 31 else np.int64)
+    wide, span = WINDOW - MINIMIZER + 1, 1
+    while span < wide:  # the least of 1, 2, 4, ... runs of words, also across texts
+        step = min(span, wide - span)
+        smaller = least[step:] < least[:-step]
+        at, least = (np.where(smaller, x[step:], x[:-step]) for x in (at, least))
+        span += step
+    place = np.arange(windows.sum()) + np.repeat(first[:-1] - np.cumsum(windows) + windows, windows)  # windows within a text
+    at, least = at[place], least[place]
+    new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    begin = place[new]
+    return np.searchsorted(first, begin, "right") - 1, begin, place[np.append(new[1:], len(place)) - 1] + 1, mixed(least[new])
 
 
 def _asked(table_: pa.Table, shards: int) -> pa.Table:
     """The minimizers of a block, and how many of its texts have them."""
     block = table_["block"][0].as_py()
-    texts = [t for t in block_texts(table_, ["first"], _earliest) if t[2][0] != NONE]
-    each = [np.unique(minimizers(h)[1]) for h in _word_hashes(texts)] if texts else []
-    keys, counts = np.unique(np.concatenate(each), return_counts=True) if each else (np.empty(0, _U), np.empty(0, int))
+    words = words_of([raw for _, raw, first in block_texts(table_, ["first"], _earliest) if first[0] != NONE])
+    text, _, _, key = minimizer_runs(words.hashes(), words.first)
+    order = np.lexsort((text, key))
+    text, key = text[order], key[order]
+    again = np.concatenate([[False], (text[1:] == text[:-1]) & (key[1:] == key[:-1])])[: len(key)]
+    keys, counts = np.unique(key[~again], return_counts=True)
     edges = shard_edges(keys, shards)
     parts = [s for s in range(shards) if edges[s + 1] > edges[s]]
     cut = lambda x, s: x[edges[s] : edges[s + 1]]
@@ -117,42 +122,40 @@ def _stretches(table_: pa.Table, replies: pa.Table, shards: int) -> pa.Table:
     out: dict[str, list] = {"shard": [], "block": [], "words": [], "lengths": [], "first": [], "which": [], "row": [], "start": []}
     if table_.num_rows and replies.num_rows:
         block = table_["block"][0].as_py()
-        every = block_texts(table_, ["first"], _earliest)
-        texts = [(k, first[0], h) for k, ((_, _, first), h) in enumerate(zip(every, _word_hashes(every), strict=True)) if first[0] != NONE]
-        found = [minimizers(h) for _, _, h in texts]
-        keys = np.unique(np.concatenate([f[1] for f in found])) if found else np.empty(0, _U)
+        texts = [(k, first[0], raw) for k, (_, raw, first) in enumerate(block_texts(table_, ["first"], _earliest)) if first[0] != NONE]
+        own = words_of([raw for _, _, raw in texts])
+        h = own.hashes()
+        text, begin, stop, key = minimizer_runs(h, own.first)
+        keys, number = np.unique(key, return_inverse=True)
         edges = shard_edges(keys, shards)
         shared, hot = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
         for s, *packed in zip(replies["shard"].to_pylist(), replies["bits"].to_pylist(), replies["hot"].to_pylist(), strict=True):
             for bits, raw in zip((shared, hot), packed, strict=True):
                 bits[edges[s] : edges[s + 1]] = np.unpackbits(np.frombuffer(raw, np.uint8), count=edges[s + 1] - edges[s])
-        first_keys = shard_starts(shards)
+        ok = shared[number]
+        text, begin, stop, number = (x[ok] for x in (text, begin, stop, number))
+        shard = np.searchsorted(edges, number, "right") - 1
+        alone = hot[number]
+        if alone.any():  # each of their windows is a stretch
+            times = np.where(alone, stop - begin, 1)
+            run = np.repeat(np.arange(len(times)), times)
+            inside = np.arange(len(run)) - np.repeat(np.cumsum(times) - times, times)
+            begin, alone, text, shard = begin[run] + inside, alone[run], text[run], shard[run]
+            stop = np.where(alone, begin + 1, stop[run])
+            shard[alone] = np.searchsorted(shard_starts(shards), grams(h, WINDOW)[begin[alone]], "right")
+        starts, ends = begin - own.first[text], stop + WINDOW - 1
+        short = (h >> _U(16)).tobytes()
         by_shard: dict[int, dict] = {}
-        for (row, first, h), (at, key) in zip(texts, found, strict=True):
-            if not len(at):
-                continue
-            number = np.searchsorted(keys, key)
-            ok = shared[number]
-            if not ok.any():
-                continue
-            alone = hot[number]
-            new = np.concatenate([[True], (at[1:] != at[:-1]) | ~ok[:-1] | alone[1:]])  # a stretch begins
-            begin = np.flatnonzero(ok & new)
-            stop = np.flatnonzero(ok & np.append(new[1:] | ~ok[1:], True)) + WINDOW
-            shard = np.searchsorted(edges, number[begin], "right") - 1
-            single = alone[begin]
-            if single.any():
-                shard[single] = np.searchsorted(first_keys, grams(h, WINDOW)[begin[single]], "right")
-            short = (h >> _U(16)).tobytes()
-            for b, e, s in zip(begin.tolist(), stop.tolist(), shard.tolist(), strict=True):
-                piece = short[8 * b : 8 * e]
-                known = by_shard.setdefault(s, {})
-                got = known.get(piece)
-                if got is None:
-                    known[piece] = got = [first, []]
-                elif first < got[0]:
-                    got[0] = first
-                got[1].append((row, b))
+        for t, b, e, start, s in zip(text.tolist(), begin.tolist(), ends.tolist(), starts.tolist(), shard.tolist(), strict=True):
+            row, first, _ = texts[t]
+            piece = short[8 * b : 8 * e]
+            known = by_shard.setdefault(s, {})
+            got = known.get(piece)
+            if got is None:
+                known[piece] = got = [first, []]
+            elif first < got[0]:
+                got[0] = first
+            got[1].append((row, start))
         for s, known in sorted(by_shard.items()):
             places = [(k, r, b) for k, (_, spots) in enumerate(known.values()) for r, b in spots]
             which, row, start = (np.array(x, "<u4") for x in zip(*places, strict=True))

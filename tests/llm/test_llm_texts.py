@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import math
 import os
 import subprocess
@@ -285,3 +286,27 @@ def test_library_works_without_the_subpackage(tmp_path):
     subprocess.run(["rm", "-r", str(tmp_path / "notice_engine/llm")], check=True)
     code = "import __spark_entry__ as e; q = e.queries(); assert q and not any(k.startswith('op') and k[2].isdigit() for k in q) and 'pipeline' not in q"
     subprocess.run(["python", "-B", "-c", code], cwd=tmp_path, check=True, env={**os.environ, "PYTHONPATH": ""})
+
+
+def test_minimizers_of_a_block_are_found_at_once(monkeypatch):
+    rng = np.random.default_rng(6)
+    lengths = [0, 12, 13, 1, 40, 0, 14, 200, 13, 5]
+    texts = [" ".join(rng.choice(["a", "b", "c"], n)).encode() for n in lengths]
+    own = words.words_of(texts)
+    h, found = own.hashes(), []
+    for k, (a, b) in enumerate(zip(own.first, own.first[1:], strict=False)):
+        g = words.grams(h[a:b], substring.MINIMIZER).tolist()
+        for p in range(b - a - substring.WINDOW + 1):
+            inside = g[p : p + substring.WINDOW - substring.MINIMIZER + 1]
+            found.append((k, a + p, a + p + inside.index(min(inside)), min(inside)))
+    runs = [list(r) for _, r in itertools.groupby(found, lambda f: (f[0], f[2]))]
+    got = list(zip(*[x.tolist() for x in substring.minimizer_runs(h, own.first)], strict=True))
+    assert got == [(r[0][0], r[0][1], r[-1][1] + 1, int(words.mixed(np.array([r[0][3]], np.uint64))[0])) for r in runs]
+
+    calls = []
+    monkeypatch.setattr(substring, "grams", lambda *a: calls.append(1) or words.grams(*a))
+    digest = [hashlib.md5(t).digest() for t in texts]
+    block = pa.table({"block": pa.array([0] * 10, pa.int32()), "digest": digest, "text": pa.array(texts, pa.binary()), "first": pa.array(range(10), pa.int64())})
+    asked = substring._asked(block, 3)
+    substring._stretches(block, substring._shared(asked), 3)
+    assert len(calls) == 2  # not one for each text
