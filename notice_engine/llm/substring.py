@@ -49,6 +49,8 @@ from notice_engine.session import ship, table
 WINDOW, MINIMIZER = 13, 6
 #: A minimizer of more texts than this is too many for one shard.
 HOT_TEXTS = 4_096
+#: Words whose minimizers are looked for at once; temporary arrays take some 60 bytes for each.
+WORDS_AT_ONCE = 1 << 17
 NONE = 2**63 - 1
 _U = np.uint64
 
@@ -57,12 +59,28 @@ def _earliest(a: list, b: list) -> list:
     return [min(a[0], b[0])]
 
 
+def _hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of texts one after the other, and where each text begins."""
+    words = words_of(texts)
+    return words.hashes(), words.first
+
+
 def minimizer_runs(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows that have their minimizer (the leftmost of equal ones) at the same place.
 
     Text k has the word hashes h[first[k]:first[k + 1]]. For each run: its text, where in
     ``h`` its first window starts and the one behind its last, and the minimizer's key.
     """
+    parts, k = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, _U))], 0
+    while k < len(first) - 1:
+        stop = max(k + 1, int(np.searchsorted(first, first[k] + WORDS_AT_ONCE, "right")) - 1)
+        text, begin, end, key = _runs(h[first[k] : first[stop]], first[k : stop + 1] - first[k])
+        parts.append((text + k, begin + first[k], end + first[k], key))
+        k = stop
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _runs(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     windows = np.maximum(np.diff(first) - WINDOW + 1, 0)
     if not windows.sum():
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, _U)
@@ -84,8 +102,7 @@ def minimizer_runs(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
 def _asked(table_: pa.Table, shards: int) -> pa.Table:
     """The minimizers of a block, and how many of its texts have them."""
     block = table_["block"][0].as_py()
-    words = words_of([raw for _, raw, first in block_texts(table_, ["first"], _earliest) if first[0] != NONE])
-    text, _, _, key = minimizer_runs(words.hashes(), words.first)
+    text, _, _, key = minimizer_runs(*_hashed([raw for _, raw, first in block_texts(table_, ["first"], _earliest) if first[0] != NONE]))
     order = np.lexsort((text, key))
     text, key = text[order], key[order]
     again = np.concatenate([[False], (text[1:] == text[:-1]) & (key[1:] == key[:-1])])[: len(key)]
@@ -123,9 +140,9 @@ def _stretches(table_: pa.Table, replies: pa.Table, shards: int) -> pa.Table:
     if table_.num_rows and replies.num_rows:
         block = table_["block"][0].as_py()
         texts = [(k, first[0], raw) for k, (_, raw, first) in enumerate(block_texts(table_, ["first"], _earliest)) if first[0] != NONE]
-        own = words_of([raw for _, _, raw in texts])
-        h = own.hashes()
-        text, begin, stop, key = minimizer_runs(h, own.first)
+        h, first_word = _hashed([raw for _, _, raw in texts])
+        texts = [(k, first) for k, first, _ in texts]
+        text, begin, stop, key = minimizer_runs(h, first_word)
         keys, number = np.unique(key, return_inverse=True)
         edges = shard_edges(keys, shards)
         shared, hot = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
@@ -143,12 +160,13 @@ def _stretches(table_: pa.Table, replies: pa.Table, shards: int) -> pa.Table:
             begin, alone, text, shard = begin[run] + inside, alone[run], text[run], shard[run]
             stop = np.where(alone, begin + 1, stop[run])
             shard[alone] = np.searchsorted(shard_starts(shards), grams(h, WINDOW)[begin[alone]], "right")
-        starts, ends = begin - own.first[text], stop + WINDOW - 1
-        short = (h >> _U(16)).tobytes()
+        starts, ends = begin - first_word[text], stop + WINDOW - 1
+        h >>= _U(16)
+        short = memoryview(h).cast("B")
         by_shard: dict[int, dict] = {}
         for t, b, e, start, s in zip(text.tolist(), begin.tolist(), ends.tolist(), starts.tolist(), shard.tolist(), strict=True):
-            row, first, _ = texts[t]
-            piece = short[8 * b : 8 * e]
+            row, first = texts[t]
+            piece = bytes(short[8 * b : 8 * e])
             known = by_shard.setdefault(s, {})
             got = known.get(piece)
             if got is None:

@@ -303,6 +303,9 @@ def test_minimizers_of_a_block_are_found_at_once(monkeypatch):
     got = list(zip(*[x.tolist() for x in substring.minimizer_runs(h, own.first)], strict=True))
     assert got == [(r[0][0], r[0][1], r[-1][1] + 1, int(words.mixed(np.array([r[0][3]], np.uint64))[0])) for r in runs]
 
+    with monkeypatch.context() as small:
+        small.setattr(substring, "WORDS_AT_ONCE", 30)
+        assert got == list(zip(*[x.tolist() for x in substring.minimizer_runs(h, own.first)], strict=True))
     calls = []
     monkeypatch.setattr(substring, "grams", lambda *a: calls.append(1) or words.grams(*a))
     digest = [hashlib.md5(t).digest() for t in texts]
