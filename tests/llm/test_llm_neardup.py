@@ -192,3 +192,14 @@ def test_classes_make_no_table_of_pairs_of_large_buckets(spark, monkeypatch):
     neardup.classes(frame(spark, rows)).collect()
     first_pass = neardup.BANDS * (neardup.MEMBERS + neardup.SMALL_BUCKET / 2) * len(rows)
     assert max(seen.values()) < first_pass / 4, seen
+
+
+def test_pipeline_stage_keeps_one_of_a_star_without_a_table_of_pairs(spark, monkeypatch):
+    import corpus_pipeline
+
+    most = []
+    real = neardup.written
+    monkeypatch.setattr(neardup, "written", lambda df, label: (out := real(df, label), most.append(out.count()))[0])
+    rows = star(400)
+    assert [r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, frame(spark, rows), "").collect()] == [0]
+    assert max(most) < neardup.BANDS * (neardup.MEMBERS + neardup.SMALL_BUCKET / 2) * len(rows) / 4
