@@ -1,59 +1,41 @@
-"""Extractor JSON shredded into documents, text, tables and images, with DataFrame functions only.
+"""Extractor JSON shredded into documents, text, tables and images.
 
-JSON is parsed into variants. A tree is walked level by level: the children of all
-nodes of a level, of all documents, are the next level, so there are as many steps as
-the deepest tree has levels. A node is known by its path, the places of its ancestors
-and its own among their siblings; paths in order give the order of the tree. Tables
-and images are leaves: nothing inside them becomes an element. Positions of tables and
-images count also those that give no output. Cells of tables are rows (row, column,
-order, text) of which :func:`matrices` makes the grids.
+Each document is read and walked in the order of its tree, once, where it lies
+(:mod:`notice_engine.functions.tree`); no rows are moved or written for that. A node is
+known by its path, the places of its ancestors and its own among their siblings; paths
+in order give the order of the tree. Tables and images are leaves: nothing inside them
+becomes an element. Positions of tables and images count also those that give no
+output. Cells given as rows (row, column, order, text) become grids by :func:`matrices`.
 
 A document whose JSON cannot be parsed, or that holds something of another kind than
-its place needs (a number, a list, an object), has an error and no elements.
+its place needs (a number of 32 bits, a list, an object), has an error and no elements.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from notice_engine.functions.text import strip
+from notice_engine.functions import tree
+from notice_engine.functions.tree import LEAVES, METADATA, TEXT_TYPES  # noqa: F401
 from notice_engine.schemas import BBOX
-from notice_engine.session import written
-
-#: Fixed value: node types that hold text.
-TEXT_TYPES = frozenset({"paragraph", "heading", "caption", "header", "footer"})
-LEAVES = ("table", "image")
-# Keys of the extractor's metadata.
-METADATA = {"author": "author", "title": "title", "creation_date": "creation date", "modification_date": "modification date"}
+from notice_engine.session import ship
 
 ELEMENT = (
     f"struct<kind:string,ord:int,path:array<int>,page_number:int,bbox:{BBOX},text:string,element_type:string,font:string,font_size:double,"
     "heading_level:int,position:int,image_path:string,row_count:int,col_count:int,data:array<array<string>>>"
 )
-
-
-def _at(node: str, key: str, kind: str) -> Column:
-    return F.try_variant_get(node, f'$["{key}"]', kind)
-
-
-def _there(node: str, key: str) -> Column:
-    """Whether a key has a value other than null."""
-    value = F.variant_get(node, f'$["{key}"]', "variant")
-    return value.isNotNull() & ~F.is_variant_null(value)
-
-
-def _misfit(node: str, key: str, kind: str) -> Column:
-    return _there(node, key) & _at(node, key, kind).isNull()
+DOCUMENT = f"struct<file_name:string,page_count:int,metadata:map<string,string>,elements:array<{ELEMENT}>,error:string>"
+#: Fixed value: characters of JSON that are walked before their documents are handed on.
+PIECE = 16_000_000
 
 
 def _count(node: str, key: str) -> Column:
     """A whole number; null for none and for 0."""
-    return F.nullif(_at(node, key, "bigint"), F.lit(0)).cast("int")
-
-
-def _kind(node: str) -> Column:
-    return F.lower(F.coalesce(_at(node, "type", "string"), F.lit("")))
+    return F.nullif(F.try_variant_get(node, f'$["{key}"]', "bigint"), F.lit(0)).cast("int")
 
 
 def first_number(node: Column | str, keys: tuple[str, ...], default: int) -> Column:
@@ -61,103 +43,51 @@ def first_number(node: Column | str, keys: tuple[str, ...], default: int) -> Col
     return F.coalesce(*[_count(node, k) for k in keys], F.lit(default))
 
 
-def _box(node: str) -> Column:
-    """Four numbers; zeros if there is no list of at least four."""
-    corner = lambda i: F.coalesce(F.try_variant_get(node, f'$["bounding box"][{i}]', "double"), F.lit(0.0))
-    whole = F.size(_at(node, "bounding box", "array<variant>")) >= 4
-    return F.struct(*[F.when(whole, corner(i)).otherwise(0.0).alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))])
-
-
-def _box_misfit(node: str) -> Column:
-    whole = F.size(_at(node, "bounding box", "array<variant>")) >= 4
-    return F.coalesce(whole & F.array_contains(F.array(*[F.try_variant_get(node, f'$["bounding box"][{i}]', "double").isNull() for i in range(4)]), True), F.lit(False))
-
-
-def _below(nodes: DataFrame, keys: list[str], leaves: tuple[str, ...]) -> DataFrame:
-    """All nodes from the given ones down (keys, path, node), but for what lies below leaves. One step for each level."""
-    level = written(nodes.select(*keys, "path", "node"), "tree-level")
-    found = level
-    while True:
-        inner = level.where(~_kind("node").isin(*leaves)) if leaves else level
-        kids = inner.select(*keys, F.col("path").alias("up"), F.posexplode(_at("node", "kids", "array<variant>")).alias("place", "node"))
-        level = written(kids.select(*keys, F.concat("up", F.array("place")).alias("path"), "node"), "tree-level")
-        if level.isEmpty():
-            return found
-        found = found.unionByName(level)
-
-
-def _grids(tables: DataFrame) -> DataFrame:
-    """(id, path, node) of tables -> id, path, row_count, col_count and data of those that have rows, or both counts."""
-    rows = tables.select("id", F.col("path").alias("at"), F.posexplode(_at("node", "rows", "array<variant>")).alias("row", "node"))
-    cells = rows.select("id", "at", "row", F.posexplode(_at("node", "cells", "array<variant>")).alias("cell", "node"))
-    cells = written(cells, "tree-cells")
-    own = ["id", "at", "row", "cell"]
-    kids = cells.select(*own, F.posexplode(_at("node", "kids", "array<variant>")).alias("place", "node")).withColumn("path", F.array("place"))
-    said = _below(kids, own, ()).select(*own, "path", strip(F.coalesce(_at("node", "content", "string"), F.lit(""))).alias("said")).where("said <> ''")
-    said = said.groupBy(*own).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", "said"))), lambda x: x["said"]), " ").alias("text"))
-    placed = cells.join(said, own, "left").select("id", "at", F.coalesce(_count("node", "row number"), F.col("row") + 1).alias("r"), F.coalesce(_count("node", "column number"), F.lit(1)).alias("c"), F.struct("row", "cell").alias("ord"), F.coalesce("text", F.lit("")).alias("text"))
-    n_rows = F.coalesce(F.size(_at("node", "rows", "array<variant>")), F.lit(0))
-    widest = F.array_max(F.transform(_at("node", "rows", "array<variant>"), lambda r: F.coalesce(F.size(F.try_variant_get(r, "$.cells", "array<variant>")), F.lit(0))))
-    n, m = _count("node", "number of rows"), _count("node", "number of columns")
-    sizes = tables.where((n_rows > 0) | (n.isNotNull() & m.isNotNull())).select("id", F.col("path").alias("at"), F.coalesce(n, n_rows).alias("n_rows"), F.coalesce(m, widest, F.lit(0)).alias("n_columns"))
-    none = sizes.select("id", "at", F.lit(0).alias("r"), F.lit(0).alias("c"), F.struct(F.lit(-1).alias("row"), F.lit(-1).alias("cell")).alias("ord"), F.lit("").alias("text"))  # a table without cells has a grid too
-    sized = placed.unionByName(none).join(sizes, ["id", "at"])
-    return matrices(sized, ["id", "at", "n_rows", "n_columns"], F.col("n_rows"), F.col("n_columns")).select("id", F.col("at").alias("path"), "row_count", "col_count", "data")
+def _list_of(lists: list, kind: pa.DataType) -> tuple[pa.Array, list]:
+    """Offsets of lists, null where there is none, and what is in them."""
+    ends, flat = [0], []
+    for x in lists:
+        if x:
+            flat += x
+        ends.append(len(flat))
+    return pa.array([None if x is None else at for x, at in zip(lists, ends, strict=False)] + ends[-1:], kind), flat
+
+
+def _shredded(texts: list[str | None], kind: pa.StructType) -> pa.StructArray:
+    """``doc`` of documents; null for null."""
+    names, pages, metadata, elements, errors = zip(*map(tree.document, texts), strict=True)
+    listed, item = kind.field("elements").type, kind.field("elements").type.value_type
+    offsets, flat = _list_of(elements, pa.int32())
+    columns = list(zip(*flat, strict=True)) if flat else [()] * 18
+    box = item.field("bbox").type
+    corners = pa.StructArray.from_arrays([pa.array(c, pa.float64()) for c in columns[4:8]], fields=list(box))
+    parts = [corners if f.name == "bbox" else pa.array(c, f.type) for f, c in zip(item, [*columns[:4], None, *columns[8:]], strict=True)]
+    made = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(parts, fields=list(item)), type=listed)
+    own = [pa.array(names, pa.string()), pa.array(pages, pa.int32()), pa.array(metadata, kind.field("metadata").type), made, pa.array(errors, pa.string())]
+    return pa.StructArray.from_arrays(own, fields=list(kind), mask=pa.array([x is None for x in texts]))
 
 
 def documents(source: DataFrame) -> DataFrame:
     """(json, other columns) -> other columns and ``doc``; a document that cannot be read has ``doc.error`` and nothing else. Null json gives a null doc."""
+    ship(source.sparkSession)
     rest = [c for c in source.columns if c != "json"]
-    rows = written(source.select(F.struct(*rest).alias("rest") if rest else F.lit(0).alias("rest"), "json", F.monotonically_increasing_id().alias("id")), "tree-source")
-    roots = rows.select("id", F.try_parse_json("json").alias("node"))
-    objects = roots.where(F.try_variant_get("node", "$", "map<string,variant>").isNotNull())
-    start = objects.select("id", F.posexplode(_at("node", "kids", "array<variant>")).alias("place", "node")).withColumn("path", F.array("place"))
-    nodes = _below(start, ["id"], LEAVES).withColumn("type", _kind("node"))
-
-    text = strip(F.coalesce(_at("node", "content", "string"), F.lit("")))
-    is_text = F.col("type").isin(*TEXT_TYPES) & (text != "")
-    kind = F.when(F.col("type").isin(*LEAVES), F.col("type")).when(is_text, "text")
-    plain = lambda key, kind_: F.when(is_text, _at("node", key, kind_))
-    found = nodes.withColumn("kind", kind)
-    wrong = (
-        F.try_variant_get("node", "$", "map<string,variant>").isNull() | _misfit("node", "kids", "array<variant>")
-        | (F.col("kind").isNotNull() & (_misfit("node", "page number", "bigint") | _box_misfit("node")))
-        | ((F.col("kind") == "table") & (_misfit("node", "rows", "array<variant>") | _misfit("node", "number of rows", "bigint") | _misfit("node", "number of columns", "bigint")))
-    )
-    bad = found.where(wrong).groupBy("id").agg(F.min("path").alias("where"))
-    elements = written(
-        found.where("kind is not null").select(
-            "id", "kind", "path", F.coalesce(_count("node", "page number"), F.lit(0)).alias("page_number"), _box("node").alias("bbox"), F.when(is_text, text).alias("text"), F.col("type").alias("element_type"),
-            plain("font", "string").alias("font"), plain("font size", "double").alias("font_size"), plain("heading level", "int").alias("heading_level"), F.when(F.col("kind") == "image", _at("node", "path", "string")).alias("image_path"),
-            F.when(F.col("kind") == "table", F.col("node")).alias("node"),
-        ),
-        "tree-elements",
-    )
-    placed = elements.where("kind = 'text'").withColumn("position", F.lit(None).cast("int")).unionByName(ordinals(elements.where("kind <> 'text'"), ["id", "kind"], ["path"]))
-    grids = _grids(elements.where("kind = 'table'").select("id", "path", "node"))
-    placed = placed.drop("node").join(grids, ["id", "path"], "left").where("kind <> 'table' or data is not null")
-    item = F.struct("path", "kind", "page_number", "bbox", "text", "element_type", "font", "font_size", "heading_level", "position", "image_path", "row_count", "col_count", "data")
-    listed = placed.groupBy("id").agg(F.array_sort(F.collect_list(item)).alias("elements"))
-    numbered = F.transform("elements", lambda e, i: F.struct(e["kind"].alias("kind"), i.cast("int").alias("ord"), e["path"].alias("path"), *[e[c].alias(c) for c in ("page_number", "bbox", "text", "element_type", "font", "font_size", "heading_level", "position", "image_path", "row_count", "col_count", "data")]))
-
-    pages = first_number("node", ("number of pages", "page count"), 0)
-    whole = rows.select("id", "rest", "json", F.try_parse_json("json").alias("node")).join(listed.select("id", numbered.alias("elements")), "id", "left").join(bad, "id", "left")
-    error = (
-        F.when(F.col("node").isNull(), "not JSON")
-        .when(F.try_variant_get("node", "$", "map<string,variant>").isNull() | _misfit("node", "kids", "array<variant>"), "not an object with a list of kids")
-        .when(_misfit("node", "number of pages", "bigint") | _misfit("node", "page count", "bigint"), "a page count is no number")
-        .when(F.col("where").isNotNull(), F.concat(F.lit("misfit at "), F.array_join(F.col("where").cast("array<string>"), "/")))
-    )
-    whole = whole.withColumn("error", error)
-    fine = lambda c: F.when(F.col("error").isNull(), c)
-    doc = F.struct(
-        fine(F.coalesce(_at("node", "file name", "string"), F.lit(""))).alias("file_name"),
-        fine(pages).alias("page_count"),
-        fine(F.create_map(*[x for k, v in METADATA.items() for x in (F.lit(k), _at("node", v, "string"))])).alias("metadata"),
-        fine(F.coalesce("elements", F.from_json(F.lit("[]"), f"array<{ELEMENT}>"))).alias("elements"),
-        "error",
-    )
-    return whole.select(*[F.col(f"rest.`{c}`").alias(c) for c in rest], F.when(F.col("json").isNotNull(), doc).alias("doc"))
+    schema = T.StructType([*[source.schema[c] for c in rest], T.StructField("doc", T._parse_datatype_string(DOCUMENT))])
+    kind, k = to_arrow_type(schema["doc"].dataType), len(rest)
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(k).to_pylist()
+            start = 0
+            while start < len(texts):
+                stop, size = start, 0
+                while stop < len(texts) and size < PIECE:
+                    size += len(texts[stop] or "")
+                    stop += 1
+                doc = _shredded(texts[start:stop], kind)
+                yield pa.RecordBatch.from_arrays([*[c.slice(start, stop - start) for c in batch.columns[:k]], doc], names=[*rest, "doc"])
+                start = stop
+
+    return source.select(*[F.col(f"`{c}`") for c in rest], F.make_valid_utf8("json")).mapInArrow(run, schema)
 
 
 def headers(docs: DataFrame) -> DataFrame:

@@ -71,5 +71,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, *keys) -> DataFrame:
+    """Rows dealt to as many tasks as a shuffle has, or cores. Spark reads a small file in one task, and joins small parts of a shuffle again, however much work its rows are."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), *keys)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from notice_engine.session import dealt
+
 #: Notices on a list page.
 PER_PAGE = 20
 
@@ -68,9 +70,10 @@ def json_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     said = F.struct(F.lit("x").alias("type"), F.col("l_returnflag").alias("content"), F.array(F.struct(F.col("l_linestatus").alias("content"))).alias("kids"))
     three = (F.struct(F.array(said).alias("kids")), F.struct(F.lit(3).alias("column number"), F.array(F.struct(F.col("l_partkey").cast("string").alias("content"))).alias("kids")), F.struct(F.lit(9).alias("column number"), F.array(said).alias("kids")))
     cells = F.concat(F.lit('{"cells":['), F.concat_ws(",", *[F.to_json(c) for c in three]), F.lit("]}"))
-    key = F.struct(line, F.col("l_partkey"), F.col("l_suppkey"), F.col("l_quantity"))
-    listed = lambda c: F.transform(F.array_sort(F.collect_list(F.struct(key.alias("k"), c.alias("v")))), lambda x: x["v"])
-    lines = lineitem.groupBy("l_orderkey").agg(F.to_json(listed(paragraph)).alias("p"), F.concat(F.lit("["), F.array_join(listed(cells), ","), F.lit("]")).alias("rows"))
+    # texts are made line by line, before lines are grouped: one list for each order, of which only keys are compared
+    made = F.struct(line, "l_partkey", "l_suppkey", "l_quantity", F.to_json(paragraph).alias("p"), cells.alias("c"))
+    listed = lambda n: F.concat(F.lit("["), F.array_join(F.transform("made", lambda x: x[n]), ","), F.lit("]"))
+    lines = dealt(lineitem, "l_orderkey").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(made)).alias("made")).select("l_orderkey", listed("p").alias("p"), listed("c").alias("rows"))
     k = F.col("o_orderkey")
     quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
     text = F.concat(
@@ -80,4 +83,4 @@ def json_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.when(k % 2 == 0, F.lit(',{"type":"image","page number":2,"bounding box":[1,2,3,4.5],"path":"a.png"},{"type":"Image"}')).otherwise(F.lit("")), F.lit("]"),
         F.when(k % 50 == 0, F.lit("")).otherwise(F.lit("}")),
     )
-    return orders.join(lines, k == F.col("l_orderkey"), "left").select(k.alias("doc_key"), text.alias("json"))
+    return dealt(orders, "o_orderkey").join(lines, k == F.col("l_orderkey"), "left").select(k.alias("doc_key"), text.alias("json"))

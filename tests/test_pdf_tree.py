@@ -86,3 +86,50 @@ def test_whole_numbers_as_text_and_with_fractions(spark):
 def test_matrices_overwrite_and_fill(spark):
     cells = spark.createDataFrame([(1, 1, 1, 1, "a"), (1, 1, 1, 2, "b"), (1, 2, 3, 1, "c")], "g int, r int, c int, ord int, text string")
     assert P.matrices(cells, ["g"]).collect()[0]["data"] == [["b", "", ""], ["", "", "c"]]
+
+
+def test_documents_run_no_job_of_their_own(spark):
+    source = spark.createDataFrame([("a", '{"kids": [{"type": "list", "kids": [{"type": "image"}]}]}')], "k string, json string")
+    spark.sparkContext.setJobGroup("shred", "")
+    try:
+        found = P.images(P.documents(source))
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("shred")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and [tuple(r["image_index"] for r in found.collect())] == [(0,)]
+
+
+def test_generated_documents_are_dealt(spark):
+    from notice_engine.testing import generated
+
+    read = lambda n: spark.read.parquet(f"/root/testdata/sf0.001/{n}.parquet")
+    assert generated.json_documents(read("orders"), read("lineitem")).rdd.getNumPartitions() >= 4
+
+
+def test_casts_are_those_of_variants(spark):
+    from notice_engine.functions import tree
+
+    values = ["1", "-0", "-2.7", "1.50", "-0.0", "1e2", "1e400", "9223372036854775808", "9.223372036854775807e18", "123456789012345678901234567890123456789", "2147483648", "true", "null", '" 4 "', '"4.5"', '"1d"', '"-Infinity"', '"NaN"', '"0x1p3"', '{"b":1.50,"a":"\\u001f\\""}', '[1,[]]', '"\\ud800"', '"\\ud83d\\ude00"']
+    texts = [f'{{"k":{v}}}' for v in values] + ['{"k":1,"k":2}', '{"k":1} x', '{"k":NaN}', '{"k":01}', "", '{"k":1,}']
+    at = lambda kind: F.try_variant_get("v", "$.k", kind)
+    parsed = spark.createDataFrame(list(enumerate(texts)), "i int, j string").select("i", F.try_parse_json("j").alias("v"))
+    want = parsed.select("i", F.col("v").isNotNull(), at("bigint"), at("int"), at("double"), at("string")).orderBy("i").collect()
+    for row, text in zip(want, texts, strict=True):
+        try:
+            value, ok = tree.loads(text).get("k"), True
+        except ValueError:
+            value, ok = None, False
+        assert repr(tuple(row[1:])) == repr((ok, tree.whole(value), tree.whole(value, 32), tree.real(value), tree.string(value))), text
+
+
+def test_numbers_over_32_bits_are_errors(spark):
+    bad = ['{"number of pages": 3000000000}', '{"kids": [{"type": "image", "page number": 3000000000}]}']
+    rows = P.documents(spark.createDataFrame([(x,) for x in bad], "json string")).select("doc.error").collect()
+    assert all(r["error"] for r in rows)
+
+
+def test_deep_trees(spark):
+    text = '{"kids":[' + '{"type":"list","kids":[' * 400 + '{"type":"heading","content":"x"}' + "]}" * 400 + "]}"
+    rows = P.texts(P.documents(spark.createDataFrame([(text,)], "json string"))).collect()
+    assert [(r["text"], len(r["path"])) for r in rows] == [("x", 401)]
