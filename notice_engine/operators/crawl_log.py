@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from notice_engine.session import dealt
+
 EMPTY_RUN = 3
 
 
@@ -99,33 +101,43 @@ def breaker(events: DataFrame, by: list[str], failures: int = 5, rest_seconds: f
     """(by, ts in seconds, ok) -> state before each call (closed, open, half_open) and whether it was let through.
 
     A success while closed leaves the count as it is; a success while half open closes
-    and clears it. State runs from call to call, so each key is replayed in order.
+    and clears it. State runs from call to call: calls of a key lie together in order
+    and are replayed as they pass, many keys in one batch; no key is held whole.
     """
-    import pandas as pd
+    import pyarrow as pa
 
     out = T.StructType(list(events.schema.fields)).add("state", "string").add("allowed", "boolean")
-
-    def replay(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("ts", kind="stable")
-        state, count, since, states, let = "closed", 0, 0.0, [], []
-        for ts, ok in zip(group["ts"], group["ok"], strict=True):
-            if state == "open" and ts - since >= rest_seconds:
-                state = "half_open"
-            states.append(state)
-            let.append(state != "open")
-            if state == "open":
-                continue
-            if ok:
-                if state == "half_open":
-                    state, count = "closed", 0
-            else:
-                count += 1
-                since = ts
-                if count >= failures:
-                    state = "open"
-        return group.assign(state=states, allowed=let)
-
-    return events.groupBy(*by).applyInPandas(replay, out)
+    nan = float("nan")
+
+    def replay(batches):
+        before, state, count, since = None, "closed", 0, 0.0
+        for batch in batches:
+            states, let = [], []
+            keys = zip(*[batch.column(c).to_pylist() for c in by], strict=True) if by else [()] * batch.num_rows
+            for key, ts, ok in zip(keys, batch.column("ts").to_pylist(), batch.column("ok").to_pylist(), strict=True):
+                if key != before:
+                    key = tuple(["NaN" if k != k else k for k in key])  # NaN is one key
+                    if key != before:
+                        before, state, count, since = key, "closed", 0, 0.0
+                ts = nan if ts is None else ts
+                if state == "open" and ts - since >= rest_seconds:
+                    state = "half_open"
+                states.append(state)
+                let.append(state != "open")
+                if state == "open":
+                    continue
+                if ok:
+                    if state == "half_open":
+                        state, count = "closed", 0
+                else:
+                    count += 1
+                    since = ts
+                    if count >= failures:
+                        state = "open"
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(states, pa.string()), pa.array(let, pa.bool_())], names=out.names)
+
+    together = dealt(events, *by) if by else events.repartition(1)
+    return together.sortWithinPartitions(*by, F.col("ts").asc_nulls_last()).mapInArrow(replay, out)
 
 
 def retry_delays(attempts: int, delay: float, factor: float = 1.5) -> list[float]:

@@ -95,3 +95,14 @@ def test_pages_as_a_source(spark, tmp_path):
     rows = {r["page_number"]: r["status"] for r in pages.collect()}
     assert rows == {1: "ok", 2: "ok", 3: "failed"} and pages.rdd.getNumPartitions() == 3
     assert N.list_rows(pages.where("status = 'ok'").select("page_number", "html")).count() == 3
+
+
+def test_breaker_replays_many_keys_in_a_batch(spark):
+    from pyspark.sql import functions as F
+
+    from notice_engine.operators import crawl_log as C
+
+    calls = spark.range(3000).select((F.col("id") % 1000).alias("k"), (F.col("id") / 1000).cast("int").cast("double").alias("ts"), F.lit(False).alias("ok"))
+    out = C.breaker(calls, ["k"], failures=2, rest_seconds=10.0)
+    assert out.groupBy("state", "allowed").count().collect() and {(r["ts"], r["state"]): r["n"] for r in out.groupBy("ts", "state").agg(F.count("*").alias("n")).collect()} == {(0.0, "closed"): 1000, (1.0, "closed"): 1000, (2.0, "open"): 1000}
+    assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().executedPlan().toString()
