@@ -30,7 +30,7 @@ def list_pages(customer: DataFrame) -> DataFrame:
         .otherwise(F.concat(cells, F.coalesce(extra, F.lit(""))))
     )
     page = F.floor(k / PER_PAGE).cast("int")
-    rows = customer.groupBy(page.alias("page_number")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", F.concat(F.lit("<tr>"), row, F.lit("</tr>\n")).alias("html")))), lambda x: x["html"]), "").alias("rows"))
+    rows = dealt(customer.withColumn("page_number", page), "page_number").groupBy("page_number").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", F.concat(F.lit("<tr>"), row, F.lit("</tr>\n")).alias("html")))), lambda x: x["html"]), "").alias("rows"))
     n = F.col("page_number")
     field = F.when(n % 5 == 4, F.lit("")).when(n % 7 == 3, F.lit('<input name="nowpage" value="x">')).otherwise(F.concat(F.lit('<input name="nowpage" value="'), n.cast("string"), F.lit('">')))
     bar = F.concat(F.lit('<div class="paging">'), _when(n, 3, 0, "", "<a href='#'><b>다음</b></a>"), _when(n, 4, 1, "<a>&lt;</a>", "<a>1<i>2</i></a>"), F.lit("</div>"))
@@ -60,7 +60,7 @@ def detail_pages(part: DataFrame) -> DataFrame:
         F.when(k % 9 == 0, F.lit('<a href="http://h/p/B.XLS">upper</a>')).otherwise(F.lit("")),
         F.when(k % 10 == 0, F.lit("""<button onclick="Download(1)">b</button><a onclick="download(2)">c</a>""")).otherwise(F.lit("")),
     )
-    return part.select(text.alias("sequence_number"), F.concat(layout, date, case, court, contact, deadline, pairs, links, F.lit("<script>법원 1999-01-01</script>")).alias("html"))
+    return dealt(part).select(text.alias("sequence_number"), F.concat(layout, date, case, court, contact, deadline, pairs, links, F.lit("<script>법원 1999-01-01</script>")).alias("html"))
 
 
 def json_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:

@@ -57,3 +57,10 @@ def test_recovery_of_broken_html():
 def test_last_of_equal_keys(spark):
     df = spark.createDataFrame([([("a", "1"), ("b", "2"), ("a", "3")],), ([],)], "p array<struct<key:string,value:string>>")
     assert [r[0] for r in df.select(N.last_wins(F.col("p"))).collect()] == [{"a": "3", "b": "2"}, {}]
+
+
+def test_generated_pages_are_dealt(spark):
+    from notice_engine.testing import generated
+
+    read = lambda n: spark.read.parquet(f"/root/testdata/sf0.001/{n}.parquet")
+    assert generated.detail_pages(read("part")).rdd.getNumPartitions() >= 4 and generated.list_pages(read("customer")).rdd.getNumPartitions() >= 4
